@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-QUERY_MODULES = ("ranking_queries",)
+QUERY_MODULES = ("ranking_queries", "layout_queries")
 
 
 def load_catalog() -> ModuleType:
