@@ -135,18 +135,11 @@ def score_report(df: DataFrame, approach: str, values: Sequence[str], order: Seq
 def best_by(df: DataFrame, score: str, groups: Sequence[str] = (), tie: Sequence[str] = ()) -> DataFrame:
     """The row with the largest score, per group if given; among equals the smallest ``tie`` columns.
 
-    ``max_by`` keeps one row per task and group, there is no sort.
+    ``min_by`` keeps one row per task and group: one pass, no sort and no join.
     """
     rest = [c for c in df.columns if c not in set(groups)]
-    best = F.max(score)
-    top = df.groupBy(*groups).agg(best.alias("_top"))
-    if tie:
-        # Lexicographic: largest score first, then smallest tie columns.
-        entry = F.struct(*[F.col(c) for c in [*tie, *[c for c in rest if c not in set(tie)]]])
-        at_top = df.join(top, list(groups)) if groups else df.withColumn("_top", F.lit(top.first()[0]))
-        winner = at_top.where(F.col(score) == F.col("_top")).groupBy(*groups).agg(F.min(entry).alias("_w"))
-    else:
-        winner = df.groupBy(*groups).agg(F.max_by(F.struct(*rest), F.col(score)).alias("_w"))
+    order = F.struct((-F.col(score)).alias("_minus"), *[F.col(c) for c in tie])
+    winner = df.where(F.col(score).isNotNull()).groupBy(*groups).agg(F.min_by(F.struct(*rest), order).alias("_w"))
     return winner.select(*groups, *[F.col("_w").getField(c).alias(c) for c in rest])
 
 
