@@ -11,7 +11,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.operators.skew import hash_positions
@@ -128,21 +128,21 @@ def _cols(prefix: str, size: int) -> list[Column]:
     return [F.col(f"{prefix}{i}") for i in range(size)]
 
 
-def hyperbolic_distance(a: list[Column], b: list[Column]) -> Column:
-    """Distance in the Poincare ball from the coordinate columns of two points."""
-    diff = [x - y for x, y in zip(a, b)]
-    gap = (1 - _dot(a, a)) * (1 - _dot(b, b))
-    return F.acosh(F.greatest(1 + 2 * _dot(diff, diff) / gap, F.lit(1.0)))
+def _with_moments(df: DataFrame, a: str, b: str, size: int) -> DataFrame:
+    """Add the products that the distance of two points and its gradients share."""
+    x, y = _cols(a, size), _cols(b, size)
+    df = df.withColumns({"_aa": 1 - _dot(x, x), "_bb": 1 - _dot(y, y), "_ab": _dot(x, y),
+                         "_gap": _dot([p - q for p, q in zip(x, y)], [p - q for p, q in zip(x, y)])})
+    gamma = F.greatest(1 + 2 * F.col("_gap") / (F.col("_aa") * F.col("_bb")), F.lit(1.0))
+    return df.withColumn("_gamma", gamma).withColumn("_e", F.exp(-F.acosh("_gamma")))
 
 
-def _distance_gradient(x: list[Column], y: list[Column]) -> list[Column]:
-    """Euclidean gradient of the distance with respect to x, in closed form."""
-    diff = [a - b for a, b in zip(x, y)]
-    alpha, beta = 1 - _dot(x, x), 1 - _dot(y, y)
-    gamma = 1 + 2 * _dot(diff, diff) / (alpha * beta)
-    scale = 4 / (beta * F.sqrt(F.greatest(gamma * gamma - 1, F.lit(1e-12))))
-    along = (_dot(y, y) - 2 * _dot(x, y) + 1) / (alpha * alpha)
-    return [scale * (along * a - b / alpha) for a, b in zip(x, y)]
+def _distance_gradient(x: list[Column], y: list[Column], alpha: str, beta: str) -> list[Column]:
+    """Euclidean gradient of the hyperbolic distance with respect to x, in closed form."""
+    al, be = F.col(alpha), F.col(beta)
+    scale = 4 / (be * F.sqrt(F.greatest(F.col("_gamma") * F.col("_gamma") - 1, F.lit(1e-12))))
+    along = (2 - be - 2 * F.col("_ab")) / (al * al)  # |y|^2 - 2<x,y> + 1
+    return [scale * (along * a - b / al) for a, b in zip(x, y)]
 
 
 def poincare_embedding(
@@ -155,21 +155,19 @@ def poincare_embedding(
     gradient of its distances is formed as columns, contributions are averaged per node (combined map-side, so a hub
     costs no more than another node) and the step is projected back into the ball.
     """
-    edges = durable(edges.select("src", "dst").distinct())
+    edges = pin_state(edges.select("src", "dst").distinct())
     nodes = hash_positions(nodes_of(edges), [], ["node"], seed, "_pos")
     start = [
         (F.pmod(F.xxhash64(F.lit(seed), F.lit(i), F.col("node")), F.lit(2001)) / 1_000_000.0 - 0.001).alias(f"x{i}")
         for i in range(size)
     ]
-    points = durable(nodes.select("node", (F.col("_pos") - 1).alias("slot"), *start))
+    points = pin_state(nodes.select("node", (F.col("_pos") - 1).alias("slot"), *start))
     n_nodes = points.count()
-    near = durable(both_directions(edges))
+    near = pin_state(both_directions(edges))
     for epoch in range(epochs):
         rate = alpha / 10 if epoch < burn_in else alpha
-        points = _poincare_epoch(points, edges, near, n_nodes, size, negative, rate, seed, epoch)
-        if (epoch + 1) % 2 == 0:
-            points = durable(points)
-    return durable(points.select("node", F.array(*_cols("x", size)).alias("vec")))
+        points = pin_state(_poincare_epoch(points, edges, near, n_nodes, size, negative, rate, seed, epoch))
+    return points.select("node", F.array(*_cols("x", size)).alias("vec"))
 
 
 def _samples(edges: DataFrame, points: DataFrame, near: DataFrame, n_nodes: int, negative: int, salts: list
@@ -188,20 +186,19 @@ def _poincare_epoch(points, edges, near, n_nodes, size, negative, rate, seed, ep
     meets = _samples(edges, points, near, n_nodes, negative, [seed, epoch])
     u = points.select(F.col("node").alias("src"), *[F.col(f"x{i}").alias(f"u{i}") for i in range(size)])
     v = points.select(F.col("node").alias("other"), *[F.col(f"x{i}").alias(f"v{i}") for i in range(size)])
-    placed = meets.join(u, "src").join(v, "other")
+    placed = _with_moments(meets.join(u, "src").join(v, "other"), "u", "v", size)
     uc, vc = _cols("u", size), _cols("v", size)
-    placed = placed.withColumn("_e", F.exp(-hyperbolic_distance(uc, vc)))
-    total = placed.groupBy("src", "dst").agg(F.sum("_e").alias("_z"))
+    # At most 1 + negative rows share an edge, so this window is small whatever the degree of the nodes.
+    total = F.sum("_e").over(Window.partitionBy("src", "dst"))
     # d loss / d distance: 1 - softmax for the true target, -softmax for a sample.
-    pull = F.when(F.col("j") == 0, 1.0).otherwise(0.0) - F.col("_e") / F.col("_z")
-    pulled = placed.join(total, ["src", "dst"]).withColumn("_pull", pull)
+    pulled = placed.withColumn("_pull", F.when(F.col("j") == 0, 1.0).otherwise(0.0) - F.col("_e") / total)
 
     def contribution(node: str, grad: list[Column]) -> Column:
         return F.struct(F.col(node).alias("node"), *[(F.col("_pull") * g).alias(f"g{i}") for i, g in enumerate(grad)])
 
     parts = pulled.select(
-        F.explode(F.array(contribution("src", _distance_gradient(uc, vc)),
-                          contribution("other", _distance_gradient(vc, uc)))).alias("c")
+        F.explode(F.array(contribution("src", _distance_gradient(uc, vc, "_aa", "_bb")),
+                          contribution("other", _distance_gradient(vc, uc, "_bb", "_aa")))).alias("c")
     )
     grads = parts.groupBy("c.node").agg(*[F.avg(f"c.g{i}").alias(f"g{i}") for i in range(size)])
     x = _cols("x", size)
@@ -223,8 +220,7 @@ def poincare_loss(vectors: DataFrame, edges: DataFrame, negative: int = 5, seed:
     meets = _samples(edges, points, both_directions(edges), vectors.count(), negative, ["loss", seed])
     u = points.select(F.col("node").alias("src"), *[F.col(f"x{i}").alias(f"u{i}") for i in range(size)])
     v = points.select(F.col("node").alias("other"), *[F.col(f"x{i}").alias(f"v{i}") for i in range(size)])
-    e = F.exp(-hyperbolic_distance(_cols("u", size), _cols("v", size)))
-    per_edge = meets.join(u, "src").join(v, "other").withColumn("_e", e).groupBy("src", "dst").agg(
+    per_edge = _with_moments(meets.join(u, "src").join(v, "other"), "u", "v", size).groupBy("src", "dst").agg(
         (F.max(F.when(F.col("j") == 0, F.col("_e"))) / F.sum("_e")).alias("share")
     )
     return per_edge.agg(F.avg(-F.log("share")).alias("loss"))

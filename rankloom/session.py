@@ -48,7 +48,7 @@ def durable(df: DataFrame) -> DataFrame:
 
 def pin_state(df: DataFrame, small_rows: int = SMALL_STATE_ROWS) -> DataFrame:
     """Evaluate a state table once. Small ones become literal rows of known size, large ones a checkpoint."""
-    head = df.limit(small_rows + 1).collect()
-    if len(head) <= small_rows:
-        return df.sparkSession.createDataFrame(head, df.schema)
+    head = df.limit(small_rows + 1).toArrow()
+    if head.num_rows <= small_rows:
+        return df.sparkSession.createDataFrame(head, df.schema)  # Arrow data becomes a LocalRelation
     return durable(df)
