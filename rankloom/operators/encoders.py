@@ -179,15 +179,19 @@ class SmoothedTargetEncoder(_EncoderEstimator):
         if label not in dataset.columns:
             raise ValueError(f"the target encoder of {col} needs the single target column {label!r}")
         y = F.col(label).cast("double")
-        per = dataset.where(y.isNotNull()).groupBy(col).agg(F.sum(y).alias("s"), F.count(F.lit(1)).alias("n"))
-        stats = pin_state(per)
-        total = stats.agg(F.sum("s"), F.sum("n")).first()
-        prior = total[0] / total[1]
+        # Level sums and the overall sum in one pass; the row of the overall sum is told apart by its grouping id.
+        stats = pin_state(
+            dataset.where(y.isNotNull()).rollup(col).agg(
+                F.sum(y).alias("s"), F.count(F.lit(1)).alias("n"), F.grouping_id().alias("overall")
+            )
+        )
+        total = stats.where("overall = 1").first()
+        prior = total["s"] / total["n"]
         w = 1 / (1 + F.exp(-(F.col("n") - self.getOrDefault("k")) / self.getOrDefault("f")))
-        levels = stats.where(F.col(col).isNotNull()).select(
+        levels = stats.where((F.col("overall") == 0) & F.col(col).isNotNull()).select(
             col, (w * F.col("s") / F.col("n") + (1 - w) * F.lit(prior)).alias("value")
         )
-        model = SmoothedTargetEncoderModel().with_tables(levels=pin_state(levels))
+        model = SmoothedTargetEncoderModel().with_tables(levels=levels)
         return self._copyValues(model)._set(prior=prior)
 
 

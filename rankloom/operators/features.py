@@ -14,7 +14,6 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.operators.profile import null_ratio_by_column
 from rankloom.operators.state import TableModel
 from rankloom.session import pin_state
 
@@ -117,13 +116,12 @@ class SideTableFeatures(Estimator, _SideParams):
         side = self.side.join(dataset.select(key).distinct(), key, "left_semi")
         side = pin_state(side)
         columns = [c for c in side.columns if c != key]
-        ratios = null_ratio_by_column(side, columns).collect()  # one row per column
-        dropped = {r["column"] for r in ratios if (r["null_ratio"] or 0.0) >= self.getOrDefault("threshold")}
-        kept = [c for c in columns if c not in dropped]
+        stats = column_statistics(side, columns)
+        threshold = self.getOrDefault("threshold")
+        stats = {c: s for c, s in stats.items() if s["rows"] and 1 - s["filled"] / s["rows"] < threshold}
         model = self._copyValues(SideTableModel())
-        if not kept:
+        if not stats:
             return model.with_tables(features=side.select(key))
-        stats = column_statistics(side, kept)
         scaled = {}
         for c, s in stats.items():
             # Imputing the mean keeps the mean and shrinks the variance by the filled share.

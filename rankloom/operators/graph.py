@@ -166,7 +166,8 @@ def poincare_embedding(
     near = pin_state(both_directions(edges))
     for epoch in range(epochs):
         rate = alpha / 10 if epoch < burn_in else alpha
-        points = pin_state(_poincare_epoch(points, edges, near, n_nodes, size, negative, rate, seed, epoch))
+        moved = _poincare_epoch(points, edges, near, n_nodes, size, negative, rate, seed, epoch)
+        points = pin_state(moved, known_rows=n_nodes)
     return points.select("node", F.array(*_cols("x", size)).alias("vec"))
 
 
@@ -200,12 +201,19 @@ def _poincare_epoch(points, edges, near, n_nodes, size, negative, rate, seed, ep
         F.explode(F.array(contribution("src", _distance_gradient(uc, vc, "_aa", "_bb")),
                           contribution("other", _distance_gradient(vc, uc, "_bb", "_aa")))).alias("c")
     )
-    grads = parts.groupBy("c.node").agg(*[F.avg(f"c.g{i}").alias(f"g{i}") for i in range(size)])
+    # Points and contributions meet in one aggregate instead of a join: a node's own row carries its place, the
+    # contribution rows its gradient.
+    here = points.select("node", "slot", *_cols("x", size), *[F.lit(None).cast("double").alias(f"g{i}") for i in range(size)])
+    pulls = parts.select("c.node", F.lit(None).cast("bigint").alias("slot"),
+                         *[F.lit(None).cast("double").alias(f"x{i}") for i in range(size)],
+                         *[F.col(f"c.g{i}").alias(f"g{i}") for i in range(size)])
+    met = here.unionByName(pulls).groupBy("node").agg(
+        F.max("slot").alias("slot"), *[F.max(f"x{i}").alias(f"x{i}") for i in range(size)],
+        *[F.coalesce(F.avg(f"g{i}"), F.lit(0.0)).alias(f"g{i}") for i in range(size)],
+    )
     x = _cols("x", size)
     lift = (1 - _dot(x, x)) ** 2 / 4
-    moved = points.join(grads, "node", "left").withColumns(
-        {f"y{i}": x[i] - F.lit(rate) * lift * F.coalesce(F.col(f"g{i}"), F.lit(0.0)) for i in range(size)}
-    )
+    moved = met.withColumns({f"y{i}": x[i] - F.lit(rate) * lift * F.col(f"g{i}") for i in range(size)})
     norm = F.sqrt(_dot(_cols("y", size), _cols("y", size)))
     inside = F.when(norm >= BALL, F.lit(BALL) / norm).otherwise(F.lit(1.0))
     return moved.select("node", "slot", *[(F.col(f"y{i}") * inside).alias(f"x{i}") for i in range(size)])

@@ -19,10 +19,11 @@ from rankloom.operators.metrics import classification_metrics, regression_metric
 from rankloom.operators.profile import best_by
 from rankloom.operators.ranking import average_spearman
 from rankloom.operators.splits import group_kfold_keys, group_split_keys, row_split
+from rankloom.session import pin_state
 from rankloom.plans.framing import FittedSpec, fit
 from rankloom.plans.spec import ModelSpec, Setting
 
-FOLD_THREADS = 4
+FOLD_THREADS = 5
 SCORES_SCHEMA = "approach string, fold int, metric string, score double, groups long, runtime double"
 TRIALS_SCHEMA = "trial int, params map<string,string>, fold int, score double, status string, error string"
 
@@ -54,7 +55,11 @@ class SpearmanEvaluator(Evaluator):
 
 def _score(fitted: FittedSpec, test: DataFrame, where: Setting) -> tuple[float | None, int]:
     rows = test.select(*where.factors, where.item, where.target).where(F.col(where.target).isNotNull())
-    row = average_spearman(fitted.predict(rows), where.factors, where.target, "prediction").first()
+    scored = fitted.predict(rows).select(*where.factors, where.target, "prediction").persist()
+    try:
+        row = average_spearman(scored, where.factors, where.target, "prediction").first()
+    finally:
+        scored.unpersist()
     return row["mean_rho"], row["groups_used"]
 
 
@@ -82,7 +87,7 @@ def _sides(rows, where, i, folds, frac, mode, seed, stratum) -> tuple[DataFrame,
                                                                          (F.col("fold") != i).alias("is_train"))
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    split = rows.join(keys, where.factors)
+    split = rows.join(pin_state(keys), where.factors)  # evaluated once for both sides
     return split.where("is_train").drop("is_train"), split.where(~F.col("is_train")).drop("is_train")
 
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 import json
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.models.estimators import PerOutputEstimator
+from rankloom.operators.features import AssembleFeatures
 from rankloom.operators.pairs import pairwise_target, wins_to_ranking
 from rankloom.operators.relational import distinct_groups
 from rankloom.operators.reshape import distinct_items, melt_target, pivot_target
@@ -105,15 +107,25 @@ def fit(spec: ModelSpec, train: DataFrame, where: Setting) -> FittedSpec:
         return _fit_dimensionwise(spec, rows, where)
     stages = spec.build(where, "label", item_in_rows)
     if spec.framing == "ordinal":
-        rows, stages = _with_step_feature(rows, stages)
-    model = Pipeline(stages=stages).fit(rows)
-    return FittedSpec(spec.framing, model, where.factors, where.item, extra)
-
-
-def _with_step_feature(rows: DataFrame, stages: list):
-    from pyspark.ml.feature import SQLTransformer
-
-    return rows, [SQLTransformer(statement="SELECT *, CAST(step AS DOUBLE) AS f_step FROM __THIS__"), *stages]
+        stages = [SQLTransformer(statement="SELECT *, CAST(step AS DOUBLE) AS f_step FROM __THIS__"), *stages]
+    return FittedSpec(spec.framing, fit_stages(stages, rows), where.factors, where.item, extra)
+
+
+def fit_stages(stages: list, rows: DataFrame) -> PipelineModel:
+    """Fit the feature stages on the cached rows and the estimator on the cached feature vectors, so that neither the
+    framing nor the features are computed again for every pass of the estimator."""
+    *preparing, estimator = stages
+    rows = rows.persist()
+    try:
+        prepared = Pipeline(stages=preparing).fit(rows)
+        vectors = prepared.transform(rows).select("features", "label").persist()
+        try:
+            fitted = estimator.fit(vectors)
+        finally:
+            vectors.unpersist()
+    finally:
+        rows.unpersist()
+    return PipelineModel(stages=[*prepared.stages, fitted])
 
 
 def _fit_dimensionwise(spec: ModelSpec, rows: DataFrame, where: Setting) -> FittedSpec:
@@ -124,8 +136,6 @@ def _fit_dimensionwise(spec: ModelSpec, rows: DataFrame, where: Setting) -> Fitt
     wide = wide.select(
         *where.factors, *[F.col(f"`{n}`").cast("double").alias(o) for n, o in zip(map(str, items), outputs)]
     )
-    from rankloom.operators.features import AssembleFeatures
-
     features = [s for s in spec.stages if s.kind != "keep"]  # the pivoted frame holds the factors only
     stages = [p for s in features if s.name != ESTIMATOR for p in s.build(where, None, False)] + [AssembleFeatures()]
     prepared = Pipeline(stages=stages).fit(wide)

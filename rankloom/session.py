@@ -18,6 +18,8 @@ def local_session(app: str = "rankloom", cpus: int | str = "*", shuffle_partitio
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # Small inputs still spread over the cores of one machine; a cluster keeps Spark's own minimum.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
@@ -46,9 +48,14 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def pin_state(df: DataFrame, small_rows: int = SMALL_STATE_ROWS) -> DataFrame:
-    """Evaluate a state table once. Small ones become literal rows of known size, large ones a checkpoint."""
-    head = df.limit(small_rows + 1).toArrow()
+def pin_state(df: DataFrame, small_rows: int = SMALL_STATE_ROWS, known_rows: int | None = None) -> DataFrame:
+    """Evaluate a state table once. Small ones become literal rows of known size, large ones a checkpoint.
+
+    ``known_rows`` is the row count where the caller has counted it already.
+    """
+    if known_rows is not None and known_rows > small_rows:
+        return durable(df)
+    head = (df if known_rows is not None else df.limit(small_rows + 1)).toArrow()
     if head.num_rows <= small_rows:
         return df.sparkSession.createDataFrame(head, df.schema)  # Arrow data becomes a LocalRelation
     return durable(df)
