@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from multiprocessing.pool import ThreadPool
 
-from pyspark import keyword_only
+from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml import classification as C
 from pyspark.ml import regression as R
@@ -28,10 +28,11 @@ class MlpClassifier(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol, De
     seed = Param(Params._dummy(), "seed", "seed", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, featuresCol="features", labelCol="label", predictionCol="prediction", hidden=(100,),
+    def __init__(self, *, featuresCol="features", labelCol="label", predictionCol="prediction", hidden=None,
                  maxIter=100, seed=0):
         super().__init__()
-        self._set(**{**self._input_kwargs, "hidden": list(self._input_kwargs.get("hidden", (100,)))})
+        self._setDefault(hidden=[100], maxIter=100, seed=0)
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, dataset):
         width = len(dataset.select(self.getFeaturesCol()).first()[0])
@@ -106,8 +107,9 @@ class PerOutputEstimator:
     def fit(self, df) -> PipelineModel:
         frame = df.persist()
         try:
-            with ThreadPoolExecutor(self.parallelism) as pool:
-                models = list(pool.map(lambda o: self._fit_one(frame, o), self.outputs))
+            with ThreadPool(self.parallelism) as pool:
+                fit_one = inheritable_thread_target(df.sparkSession)(lambda o: self._fit_one(frame, o))
+                models = pool.map(fit_one, self.outputs)
         finally:
             frame.unpersist()
         return PipelineModel(stages=models)

@@ -120,29 +120,30 @@ def cluster_nodes(vectors: DataFrame, k: int = 6, seed: int = 0) -> DataFrame:
 BALL = 1.0 - 1e-5
 
 
-def _dot(a: list[Column], b: list[Column]) -> Column:
-    return sum([x * y for x, y in zip(a[1:], b[1:])], start=a[0] * b[0])
+# The formulas are written as SQL text: one expression per output column instead of a call per arithmetic operator.
+
+def _dot(a: str, b: str, size: int) -> str:
+    return "(" + " + ".join(f"{a}{i} * {b}{i}" for i in range(size)) + ")"
 
 
 def _cols(prefix: str, size: int) -> list[Column]:
     return [F.col(f"{prefix}{i}") for i in range(size)]
 
 
-def _with_moments(df: DataFrame, a: str, b: str, size: int) -> DataFrame:
-    """Add the products that the distance of two points and its gradients share."""
-    x, y = _cols(a, size), _cols(b, size)
-    df = df.withColumns({"_aa": 1 - _dot(x, x), "_bb": 1 - _dot(y, y), "_ab": _dot(x, y),
-                         "_gap": _dot([p - q for p, q in zip(x, y)], [p - q for p, q in zip(x, y)])})
-    gamma = F.greatest(1 + 2 * F.col("_gap") / (F.col("_aa") * F.col("_bb")), F.lit(1.0))
-    return df.withColumn("_gamma", gamma).withColumn("_e", F.exp(-F.acosh("_gamma")))
+def _with_moments(df: DataFrame, size: int) -> DataFrame:
+    """Add what the distance of the points u and v and its gradients share; ``_e`` is exp(-distance)."""
+    gap = " + ".join(f"(u{i} - v{i}) * (u{i} - v{i})" for i in range(size))
+    df = df.selectExpr("*", f"1 - {_dot('u', 'u', size)} AS _aa", f"1 - {_dot('v', 'v', size)} AS _bb",
+                       f"{_dot('u', 'v', size)} AS _ab", f"({gap}) AS _gap")
+    df = df.selectExpr("*", "greatest(1 + 2 * _gap / (_aa * _bb), 1.0D) AS _gamma")
+    return df.selectExpr("*", "exp(-acosh(_gamma)) AS _e")
 
 
-def _distance_gradient(x: list[Column], y: list[Column], alpha: str, beta: str) -> list[Column]:
+def _distance_gradient(x: str, y: str, alpha: str, beta: str, size: int) -> list[str]:
     """Euclidean gradient of the hyperbolic distance with respect to x, in closed form."""
-    al, be = F.col(alpha), F.col(beta)
-    scale = 4 / (be * F.sqrt(F.greatest(F.col("_gamma") * F.col("_gamma") - 1, F.lit(1e-12))))
-    along = (2 - be - 2 * F.col("_ab")) / (al * al)  # |y|^2 - 2<x,y> + 1
-    return [scale * (along * a - b / al) for a, b in zip(x, y)]
+    scale = f"4 / ({beta} * sqrt(greatest(_gamma * _gamma - 1, 1e-12D)))"
+    along = f"(2 - {beta} - 2 * _ab) / ({alpha} * {alpha})"  # (|y|^2 - 2<x,y> + 1) / alpha^2
+    return [f"{scale} * ({along} * {x}{i} - {y}{i} / {alpha})" for i in range(size)]
 
 
 def poincare_embedding(
@@ -187,20 +188,19 @@ def _poincare_epoch(points, edges, near, n_nodes, size, negative, rate, seed, ep
     meets = _samples(edges, points, near, n_nodes, negative, [seed, epoch])
     u = points.select(F.col("node").alias("src"), *[F.col(f"x{i}").alias(f"u{i}") for i in range(size)])
     v = points.select(F.col("node").alias("other"), *[F.col(f"x{i}").alias(f"v{i}") for i in range(size)])
-    placed = _with_moments(meets.join(u, "src").join(v, "other"), "u", "v", size)
-    uc, vc = _cols("u", size), _cols("v", size)
+    placed = _with_moments(meets.join(u, "src").join(v, "other"), size)
     # At most 1 + negative rows share an edge, so this window is small whatever the degree of the nodes.
     total = F.sum("_e").over(Window.partitionBy("src", "dst"))
     # d loss / d distance: 1 - softmax for the true target, -softmax for a sample.
     pulled = placed.withColumn("_pull", F.when(F.col("j") == 0, 1.0).otherwise(0.0) - F.col("_e") / total)
 
-    def contribution(node: str, grad: list[Column]) -> Column:
-        return F.struct(F.col(node).alias("node"), *[(F.col("_pull") * g).alias(f"g{i}") for i, g in enumerate(grad)])
+    def contribution(node: str, grad: list[str]) -> str:
+        parts = ", ".join(f"'g{i}', _pull * ({g})" for i, g in enumerate(grad))
+        return f"named_struct('node', {node}, {parts})"
 
-    parts = pulled.select(
-        F.explode(F.array(contribution("src", _distance_gradient(uc, vc, "_aa", "_bb")),
-                          contribution("other", _distance_gradient(vc, uc, "_bb", "_aa")))).alias("c")
-    )
+    at_u = contribution("src", _distance_gradient("u", "v", "_aa", "_bb", size))
+    at_v = contribution("other", _distance_gradient("v", "u", "_bb", "_aa", size))
+    parts = pulled.selectExpr(f"explode(array({at_u}, {at_v})) AS c")
     # Points and contributions meet in one aggregate instead of a join: a node's own row carries its place, the
     # contribution rows its gradient.
     here = points.select("node", "slot", *_cols("x", size), *[F.lit(None).cast("double").alias(f"g{i}") for i in range(size)])
@@ -211,12 +211,11 @@ def _poincare_epoch(points, edges, near, n_nodes, size, negative, rate, seed, ep
         F.max("slot").alias("slot"), *[F.max(f"x{i}").alias(f"x{i}") for i in range(size)],
         *[F.coalesce(F.avg(f"g{i}"), F.lit(0.0)).alias(f"g{i}") for i in range(size)],
     )
-    x = _cols("x", size)
-    lift = (1 - _dot(x, x)) ** 2 / 4
-    moved = met.withColumns({f"y{i}": x[i] - F.lit(rate) * lift * F.col(f"g{i}") for i in range(size)})
-    norm = F.sqrt(_dot(_cols("y", size), _cols("y", size)))
-    inside = F.when(norm >= BALL, F.lit(BALL) / norm).otherwise(F.lit(1.0))
-    return moved.select("node", "slot", *[(F.col(f"y{i}") * inside).alias(f"x{i}") for i in range(size)])
+    lift = f"pow(1 - {_dot('x', 'x', size)}, 2) / 4"
+    moved = met.selectExpr("node", "slot", *[f"x{i} - {rate}D * {lift} * g{i} AS y{i}" for i in range(size)])
+    norm = f"sqrt({_dot('y', 'y', size)})"
+    inside = f"CASE WHEN {norm} >= {BALL}D THEN {BALL}D / {norm} ELSE 1.0D END"
+    return moved.selectExpr("node", "slot", *[f"y{i} * {inside} AS x{i}" for i in range(size)])
 
 
 def poincare_loss(vectors: DataFrame, edges: DataFrame, negative: int = 5, seed: int = 1) -> DataFrame:
@@ -228,7 +227,7 @@ def poincare_loss(vectors: DataFrame, edges: DataFrame, negative: int = 5, seed:
     meets = _samples(edges, points, both_directions(edges), vectors.count(), negative, ["loss", seed])
     u = points.select(F.col("node").alias("src"), *[F.col(f"x{i}").alias(f"u{i}") for i in range(size)])
     v = points.select(F.col("node").alias("other"), *[F.col(f"x{i}").alias(f"v{i}") for i in range(size)])
-    per_edge = _with_moments(meets.join(u, "src").join(v, "other"), "u", "v", size).groupBy("src", "dst").agg(
+    per_edge = _with_moments(meets.join(u, "src").join(v, "other"), size).groupBy("src", "dst").agg(
         (F.max(F.when(F.col("j") == 0, F.col("_e"))) / F.sum("_e")).alias("share")
     )
     return per_edge.agg(F.avg(-F.log("share")).alias("loss"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-QUERY_MODULES = ("ranking_queries", "layout_queries", "profile_queries", "feature_queries")
+QUERY_MODULES = ("ranking_queries", "layout_queries", "profile_queries", "feature_queries", "model_queries")
 
 
 def load_catalog() -> ModuleType:

@@ -6,10 +6,11 @@ import itertools
 import random
 import time
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame
@@ -23,7 +24,7 @@ from rankloom.session import pin_state
 from rankloom.plans.framing import FittedSpec, fit
 from rankloom.plans.spec import ModelSpec, Setting
 
-FOLD_THREADS = 5
+FOLD_THREADS = 3
 SCORES_SCHEMA = "approach string, fold int, metric string, score double, groups long, runtime double"
 TRIALS_SCHEMA = "trial int, params map<string,string>, fold int, score double, status string, error string"
 
@@ -71,9 +72,11 @@ def cross_validate(
     partitions the groups (V3). The rows are cached once and each fold is a filter on a small table of groups."""
     rows = df.select(*where.roles).persist()
     try:
-        with ThreadPoolExecutor(min(threads, folds)) as pool:
-            scores = list(pool.map(lambda i: _fold(spec, rows, where, i, folds, frac, mode, seed, stratum),
-                                   range(folds)))
+        def one(i: int) -> tuple:
+            return _fold(spec, rows, where, i, folds, frac, mode, seed, stratum)
+
+        with ThreadPool(min(threads, folds)) as pool:
+            scores = pool.map(inheritable_thread_target(df.sparkSession)(one), range(folds))
     finally:
         rows.unpersist()
     return df.sparkSession.createDataFrame(scores, SCORES_SCHEMA)

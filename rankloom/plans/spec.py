@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 from typing import Any
@@ -30,14 +31,16 @@ class Setting:
     side_key: str = "dataset"
     carry: tuple[str, ...] = ()
     _vectors: dict = field(default_factory=dict)
+    _lock: threading.Lock = field(default_factory=threading.Lock)
 
     def item_vectors(self, size: int, epochs: int, negative: int, alpha: float) -> DataFrame:
         """The item embedding depends on the graph alone, so it is fitted once and shared by all folds and trials."""
         key = (size, epochs, negative, alpha)
-        if key not in self._vectors:
-            if self.edges is None:
-                raise ValueError("this specification needs an item graph")
-            self._vectors[key] = graph.poincare_embedding(self.edges, size, epochs, negative, alpha)
+        with self._lock:  # folds run in threads; the first one fits
+            if key not in self._vectors:
+                if self.edges is None:
+                    raise ValueError("this specification needs an item graph")
+                self._vectors[key] = graph.poincare_embedding(self.edges, size, epochs, negative, alpha)
         return self._vectors[key]
 
     @property
