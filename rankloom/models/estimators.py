@@ -63,9 +63,9 @@ def _forest(cls, trees=20, subset=None, **settings) -> Estimator:
 
 
 ESTIMATORS: dict[str, Callable[..., Estimator]] = {
-    "mean": lambda **s: BaselineEstimator(strategy="mean", **s),
-    "median": lambda **s: BaselineEstimator(strategy="median", **s),
-    "most_frequent": lambda **s: BaselineEstimator(strategy="most_frequent", **s),
+    "mean": lambda strategy="mean", **s: BaselineEstimator(strategy=strategy, **s),
+    "median": lambda strategy="median", **s: BaselineEstimator(strategy=strategy, **s),
+    "most_frequent": lambda strategy="most_frequent", **s: BaselineEstimator(strategy=strategy, **s),
     "linear": lambda **s: R.LinearRegression(labelCol="label", **s),
     "tree": lambda **s: _tree(R.DecisionTreeRegressor, **s),
     "forest": lambda **s: _forest(R.RandomForestRegressor, **s),

@@ -14,8 +14,8 @@ FACTORS = ["dataset", "model", "tuning", "scoring"]
 @pytest.fixture(scope="module")
 def where(spark):
     """A table whose ranking follows the item, so that every framing has something to learn."""
-    groups = spark.range(48).selectExpr("CAST(id % 6 AS INT) AS dataset", "CONCAT('m', id % 2) AS model",
-                                        "CONCAT('t', id % 3) AS tuning", "CONCAT('s', id % 4) AS scoring").distinct()
+    groups = spark.range(48).selectExpr("CAST(id % 6 AS INT) AS dataset", "CONCAT('m', id DIV 6 % 2) AS model",
+                                        "CONCAT('t', id % 3) AS tuning", "CONCAT('s', id DIV 12) AS scoring")
     rows = groups.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(5)))).select(
         *FACTORS, F.concat(F.lit("e"), F.col("i")).alias("encoder"),
         F.pmod(F.col("i") + F.when(F.col("model") == "m1", 3).otherwise(0), F.lit(6)).cast("int").alias("rank"),
@@ -111,3 +111,22 @@ def test_nearest_neighbours_against_brute_force(spark, monkeypatch):
     d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
     np.fill_diagonal(d, np.inf)
     assert got["neighbour"].tolist() == np.argsort(d, axis=1, kind="stable")[:, :4].ravel().tolist()
+
+
+def test_command_line(spark, where, tmp_path):
+    from rankloom.plans import cli
+
+    rows, setting = where
+    numbered = rows.withColumn("row_id", F.monotonically_increasing_id())
+    full = numbered.select("row_id", *FACTORS, "encoder", F.lit(None).cast("double").alias("cv_score"),
+                           F.col("rank").cast("double").alias("rank"))
+    full.write.parquet(str(tmp_path / "train.parquet"))
+    setting.side.write.parquet(str(tmp_path / "side"))
+    scores = cli.run(spark, [
+        "--pipeline_type", "listwise_multidimensional_regression_no_search", "--train_dataset",
+        str(tmp_path / "train.parquet"), "--test_dataset", str(tmp_path / "train.parquet"), "--metafeatures",
+        str(tmp_path / "side"), "--output", str(tmp_path / "out"),
+    ])
+    assert cli.report(scores).first()["mean"] > 0.8
+    predicted = spark.read.schema("row_id long, prediction double").csv(str(tmp_path / "out" / "predictions"))
+    assert predicted.where("prediction IS NOT NULL").count() == rows.count()
