@@ -16,8 +16,13 @@ def indicator(cond: Column) -> Column:
     return F.when(cond, 1).otherwise(0)
 
 
+def fixed_text(value: Column, digits: int) -> Column:
+    """Text with a fixed number of decimals; a tie goes to the even digit, as in C and Python formatting."""
+    return F.format_string(f"%.{digits}f", F.bround(value, digits))
+
+
 def percent_text(ratio: Column, digits: int = 2) -> Column:
-    return F.format_string(f"%.{digits}f%%", ratio * 100)
+    return F.concat(fixed_text(ratio * 100, digits), F.lit("%"))
 
 
 def pearson_from_sums(n: Column, sx: Column, sy: Column, sxy: Column, sxx: Column, syy: Column) -> Column:

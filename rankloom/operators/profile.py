@@ -8,7 +8,7 @@ from math import prod
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.functions.numbers import safe_ratio
+from rankloom.functions.numbers import fixed_text, safe_ratio
 from rankloom.operators.reshape import to_matrix
 from rankloom.operators.skew import not_null_keys, value_positions
 
@@ -109,7 +109,7 @@ def null_ratio_matrix(df: DataFrame, item: str, level: str, value: str, labels:
                       digits: int = 4) -> DataFrame:
     """A10/R5 as an item x level matrix with blanks below the threshold."""
     found = null_ratio_by_item_level(df, item, level, value, threshold)
-    shown = found.withColumn("null_ratio", F.format_string(f"%.{digits}f", "null_ratio"))
+    shown = found.withColumn("null_ratio", fixed_text(F.col("null_ratio"), digits))
     return to_matrix(shown, item, level, "null_ratio", labels)
 
 

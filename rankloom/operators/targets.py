@@ -96,10 +96,13 @@ class GroupMinMax(GroupwiseTarget):
 
 
 class RankBinarizer:
-    """Rank r in 0..M becomes M columns ``r > i``; the inverse is their sum."""
+    """Rank r in 0..M becomes M columns ``r > i``; the inverse is their sum.
 
-    def __init__(self, target: str):
-        self.target = target
+    M is the largest rank seen, or ``top`` where the column set has to be fixed beforehand (items - 1).
+    """
+
+    def __init__(self, target: str, top: int | None = None):
+        self.target, self.top = target, top
 
     def fit(self, df: DataFrame) -> RankBinarizerModel:
         y = F.col(self.target)
@@ -107,7 +110,9 @@ class RankBinarizer:
         top, wrong = df.agg(F.max(y).cast("int"), bad).first()
         if wrong:
             raise ValueError(f"{self.target}: {wrong} values are not non-negative integers")
-        return RankBinarizerModel(self.target, top or 0)
+        if self.top is not None and (top or 0) > self.top:
+            raise ValueError(f"{self.target}: rank {top} is above the stated largest rank {self.top}")
+        return RankBinarizerModel(self.target, (top or 0) if self.top is None else self.top)
 
 
 class RankBinarizerModel:

@@ -184,7 +184,7 @@ def t1(spark, sf_dir):
 SELECT {FACTOR_LIST}, encoder, {", ".join(f"CASE WHEN rank > {i} THEN 1 ELSE 0 END AS rank_{i}" for i in range(24))} FROM ranked""")
 def t3(spark, sf_dir):
     rows = ranked_results(spark, sf_dir).select(*KEYS, "rank")
-    return targets.RankBinarizer("rank").fit(rows).transform(rows)
+    return targets.RankBinarizer("rank", top=len(BRANDS) - 1).fit(rows).transform(rows)
 
 
 @query("t3_rank_binarizer_inverse", f"WITH {RANKED_CTE} SELECT {FACTOR_LIST}, encoder, rank FROM ranked")
