@@ -8,7 +8,6 @@ over many tasks, and each task returns at most k candidates per query.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from math import isqrt
 
 import numpy as np
@@ -83,14 +82,17 @@ def nearest_neighbours(
         )
     )
 
-    def dealt(rows: DataFrame, by: str, own: str, other: str) -> DataFrame:
-        mine = rows.join(plan, "cell").withColumn(own[:-1] if own != "batches" else "batch",
-                                                  F.pmod(F.xxhash64(by), F.col(own)).cast("int"))
-        repeated = "batch" if own == "chunks" else "chunk"
-        return mine.withColumn(repeated, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop("chunks", "batches")
+    # A query goes to one batch of its cell and meets every chunk; a training row sits in one chunk and meets every batch.
+    def pick(by: str, ways: str):
+        return F.pmod(F.xxhash64(by), F.col(ways)).cast("int")
 
-    left = dealt(wanted, "q", "batches", "chunks")
-    right = dealt(cells.select("t", "v", "cell"), "t", "chunks", "batches")
+    def each(ways: str):
+        return F.explode(F.sequence(F.lit(0), F.col(ways) - 1))
+
+    left = wanted.join(plan, "cell").withColumn("batch", pick("q", "batches")).withColumn("chunk", each("chunks"))
+    right = cells.select("t", "v", "cell").join(plan, "cell").withColumn("chunk", pick("t", "chunks")).withColumn(
+        "batch", each("batches"))
+    left, right = left.drop("chunks", "batches"), right.drop("chunks", "batches")
     place_keys = ["cell", "chunk", "batch"]
 
     def closest(_, qs: pd.DataFrame, ts: pd.DataFrame) -> pd.DataFrame:

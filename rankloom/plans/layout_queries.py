@@ -8,7 +8,7 @@ from rankloom.functions import indicator, percent_text
 from rankloom.operators import lists, pairs, relational as rel, reshape
 from rankloom.plans.catalog import query
 from rankloom.plans.tables import (
-    FACTOR_LIST, FACTORS, ITEM, KEYS, METAFEATURES_CTE, META_COLUMNS, RANKED_CTE, REPORTS_CTE, RESULTS_CTE,
+    FACTOR_LIST, FACTORS, ITEM, KEYS, METAFEATURES_CTE, RANKED_CTE, REPORTS_CTE, RESULTS_CTE,
     metafeatures, ranked_results, results, score_reports, table,
 )
 from rankloom.sources.readers import attach_target, read_results, spread_features
