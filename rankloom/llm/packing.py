@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from rankloom.llm.common import buckets_for, written
+from rankloom.llm.words import UNSPACED, words_of
 
-#: Words whose ids a worker remembers before it starts anew. About 150 bytes each.
-REMEMBERED_WORDS = 400_000
+#: Distinct runs whose ids a worker remembers before it starts anew. About 200 bytes each.
+REMEMBERED_RUNS = 500_000
 #: Rows of one window that numbers pieces of equal length.
 ROWS_PER_BUCKET = 1024
 
@@ -34,9 +35,13 @@ PIECES_ARROW = pa.schema([
 ])
 
 
-class WordIds(dict):
-    """Little-endian ids of a text, word by word. A word is what lies between ASCII white space: the tokenizer never
-    joins anything across it, so the ids of a text are those of its words. Unknown words are encoded in one batch."""
+class RunIds:
+    """Token ids of many texts at once.
+
+    A text is cut into runs between which the tokenizer never joins anything: at ASCII white space, and inside words of
+    plain letters and signs also between letters and signs. Words with an apostrophe or with a character beyond Latin-1
+    letters stay whole. Each distinct run is encoded once by the tokenizer and remembered; the rest is numpy.
+    """
 
     def __init__(self, tokenizer_path: str):
         from tokenizers import Tokenizer
@@ -44,62 +49,85 @@ class WordIds(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.tokenizer.encode_special_tokens = True
-
-    def learn(self, words: set[bytes]) -> None:
-        if len(self) > REMEMBERED_WORDS:
-            self.clear()
-        unknown = [w for w in words if w not in self]
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in unknown], add_special_tokens=False)
-        for word, ids in zip(unknown, encoded):
-            self[word] = np.asarray(ids.ids, dtype="<u4").tobytes()
-
-    def of(self, texts: list[bytes]) -> Iterator[bytes]:
-        split = [t.split() for t in texts]
-        self.learn(set().union(*split))
-        for words in split:
-            yield b"".join(map(self.__getitem__, words))
-
-
-_known: dict[str, WordIds] = {}
-
-
-def _word_ids(path: str) -> WordIds:
+        self._forget()
+
+    def _forget(self) -> None:
+        self.rows: dict[bytes, int] = {}
+        self.ids = np.empty(1 << 20, dtype=np.uint32)
+        self.begin = np.zeros(1 << 18, dtype=np.int64)  # of each row in ids; the next one's is its end
+
+    def _learn(self, runs: list[bytes]) -> None:
+        for at in range(0, len(runs), 5_000):  # an encoding holds far more than the ids
+            some = runs[at: at + 5_000]
+            for run, encoded in zip(some, self.tokenizer.encode_batch_fast(
+                    [r.decode() for r in some], add_special_tokens=False)):
+                row, ids = len(self.rows), encoded.ids
+                first = self.begin[row]
+                if first + len(ids) > len(self.ids):
+                    self.ids = np.concatenate([self.ids, np.empty(max(len(self.ids), len(ids)), dtype=np.uint32)])
+                if row + 2 > len(self.begin):
+                    self.begin = np.concatenate([self.begin, np.zeros(len(self.begin), dtype=np.int64)])
+                self.ids[first: first + len(ids)] = ids
+                self.begin[row + 1] = first + len(ids)
+                self.rows[run] = row
+
+    def of(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        for runs in words_of(column, UNSPACED, lower=True, cut=_letters_from_signs):
+            _, first, which = np.unique(runs.hashes(), return_index=True, return_inverse=True)
+            raw = runs.data.tobytes()
+            distinct = [raw[s:e] for s, e in zip(runs.start[first].tolist(), runs.end[first].tolist())]
+            if len(self.rows) + len(distinct) > REMEMBERED_RUNS:
+                self._forget()
+            self._learn([r for r in distinct if r not in self.rows])
+            row = np.fromiter(map(self.rows.__getitem__, distinct), dtype=np.int64, count=len(distinct))
+            begin, size = self.begin[row][which], (self.begin[row + 1] - self.begin[row])[which]
+            ends = np.cumsum(size)
+            ids = self.ids[np.repeat(begin - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+            upto = np.concatenate(([0], ends))[runs.bounds()]
+            for a, b in zip(upto, upto[1:]):
+                yield ids[a:b]
+
+
+def _letters_from_signs(data: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Where a run begins inside a word. ``word`` numbers the word of each byte."""
+    letter = (data >= 97) & (data <= 122)
+    pair = (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)  # a Latin-1 letter
+    letter[:-1] |= pair
+    letter[1:] |= pair
+    begins = np.zeros(len(data), dtype=bool)
+    begins[1:] = letter[1:] != letter[:-1]
+    whole = np.zeros(int(word[-1]) + 2 if len(word) else 1, dtype=bool)
+    whole[word[(data == 39) | ((data >= 128) & ~letter)]] = True
+    return begins & ~whole[word]
+
+
+_known: dict[str, RunIds] = {}
+
+
+def _run_ids(path: str) -> RunIds:
     if path not in _known:
-        _known[path] = WordIds(path)
+        _known[path] = RunIds(path)
     return _known[path]
 
 
-def _groups(texts: list[str | None], limit: int = 4 << 20) -> Iterator[tuple[int, list[bytes]]]:
-    """Runs of texts of about ``limit`` bytes together, each with the place of its first."""
-    begin, held, size = 0, [], 0
-    for i, text in enumerate(texts):
-        held.append((text or "").encode())
-        size += len(held[-1])
-        if size >= limit:
-            yield begin, held
-            begin, held, size = i + 1, [], 0
-    if held:
-        yield begin, held
-
-
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int = 0) -> DataFrame:
     """One row per piece of each document: its ids and ``end_id``, cut into pieces of ``capacity`` where longer."""
 
     def cut(batches):
-        word_ids = _word_ids(tokenizer_path)
+        run_ids = _run_ids(tokenizer_path)
         end = np.asarray([end_id], dtype="<u4").tobytes()
         width = 4 * capacity
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            for begin, texts in _groups(batch.column(1).to_pylist()):
-                rows = []
-                for key, ids in zip(keys[begin:], word_ids.of(texts)):
-                    ids += end
-                    for piece, at in enumerate(range(0, len(ids), width)):
-                        part = ids[at:at + width]
-                        rows.append((key, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), PIECES_ARROW.types)], schema=PIECES_ARROW)
+            rows: list[tuple] = []
+            for key, ids in zip(batch.column(0).to_pylist(), run_ids.of(batch.column(1))):
+                raw = ids.astype("<u4").tobytes() + end
+                for piece, at in enumerate(range(0, len(raw), width)):
+                    part = raw[at:at + width]
+                    rows.append((key, piece, at // 4, len(part) // 4, zlib.crc32(part)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5, PIECES_ARROW.types)],
+                schema=PIECES_ARROW)
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
 

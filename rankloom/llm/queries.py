@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import packing, resharding
-from rankloom.llm.common import load
+from rankloom.llm import decontaminate, langid, packing, resharding, simhash
+from rankloom.llm.common import fold, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +35,64 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), word_tokenizer(), 2048)
 
 
+def language_dictionaries(docs: DataFrame) -> langid.Dictionaries:
+    return langid.learn(docs, fold(F.col("doc_id"), 3) != 1)
+
+
+@query("op5_compression_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    found = langid.identify(docs, language_dictionaries(docs))
+    return found.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+# Windows are compared as arrays of words; positions that a window covers are counted once.
+OP6_SQL = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, n, list_aggregate(w[i:i + n - 1], 'string_agg', ' ') AS v
+  FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT r, i, n, list_aggregate(w[i:i + n - 1], 'string_agg', ' ') AS v
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM words, sizes WHERE len(w) >= n)),
+hits AS (SELECT r, i, n, item_id FROM places JOIN windows USING (n, v)),
+covered AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+found AS (
+  SELECT r, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS k FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN covered USING (r) LEFT JOIN found USING (r)
+"""
+
+
+@query("op6_benchmark_decontamination", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.scan(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), 10)
+    n_hit = F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.first)")
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", F.array_sort(F.col("items").cast("array<string>"))), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"))
+
+
+@query("op8_gray_order_simhash")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(load(spark, sf_dir, "documents"), 3, 2)
+
+
 @query("op9_flow_resharding")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
