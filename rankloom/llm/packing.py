@@ -13,6 +13,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -59,17 +60,17 @@ class RunIds:
     def _learn(self, runs: list[bytes]) -> None:
         for at in range(0, len(runs), 5_000):  # an encoding holds far more than the ids
             some = runs[at: at + 5_000]
-            for run, encoded in zip(some, self.tokenizer.encode_batch_fast(
-                    [r.decode() for r in some], add_special_tokens=False)):
-                row, ids = len(self.rows), encoded.ids
-                first = self.begin[row]
-                if first + len(ids) > len(self.ids):
-                    self.ids = np.concatenate([self.ids, np.empty(max(len(self.ids), len(ids)), dtype=np.uint32)])
-                if row + 2 > len(self.begin):
-                    self.begin = np.concatenate([self.begin, np.zeros(len(self.begin), dtype=np.int64)])
-                self.ids[first: first + len(ids)] = ids
-                self.begin[row + 1] = first + len(ids)
-                self.rows[run] = row
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(
+                [r.decode() for r in some], add_special_tokens=False)]
+            row = len(self.rows)
+            ends = self.begin[row] + np.cumsum(np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)))
+            while ends[-1] > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+            while row + len(some) + 1 > len(self.begin):
+                self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
+            self.ids[self.begin[row]: ends[-1]] = np.fromiter(chain.from_iterable(ids), dtype=np.uint32)
+            self.begin[row + 1: row + 1 + len(some)] = ends
+            self.rows.update(zip(some, range(row, row + len(some))))
 
     def of(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text."""
