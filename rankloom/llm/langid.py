@@ -1,5 +1,5 @@
 """Language identification by compression: a text is compressed with a raw-content zstandard dictionary of each language,
-and the language whose dictionary leaves the fewest bytes is chosen."""
+and the language whose dictionary leaves the fewest bytes is chosen. Letter case doesn't count."""
 
 from __future__ import annotations
 
@@ -14,11 +14,17 @@ from rankloom.llm.common import small_enough, written
 
 UNKNOWN = "und"
 #: Bytes of a language's dictionary; texts are drawn into it until it is full.
-DICTIONARY_BYTES = 96 << 10
+DICTIONARY_BYTES = 64 << 10
 #: Hash buckets of a language: one text is drawn from each, so this bounds the sample.
 DRAWS = 256
-#: Of zstandard.
-LEVEL = 3
+#: Bytes of a drawn text that go into its language's dictionary.
+SHARE = 1 << 10
+#: Of zstandard: from here on it searches the whole dictionary for matches.
+LEVEL = 9
+#: A text is compressed in blocks, so that the dictionary and not the text's own past explains it.
+BLOCK_BYTES = 2 << 10
+#: Starts that break a tie between the sizes of a short text.
+SHIFTS = 8
 #: A prediction is rejected when the runner-up needs less than this share of bytes more.
 MARGIN = 0.002
 
@@ -54,34 +60,43 @@ def learn(docs: DataFrame, training: Column) -> Dictionaries:
     known = docs.select("doc_id", "text", "lang").where(training & F.col("lang").isNotNull()).where(
         F.col("text").rlike(r"\p{L}"))
     ranked = known.select("lang", order.alias("h")).withColumn("bucket", F.pmod("h", F.lit(DRAWS)))
-    drawn = ranked.groupBy("lang", "bucket").agg(F.min("h").alias("h"))
+    drawn = ranked.groupBy("lang", "bucket").agg(F.min("h").alias("h"), F.count(F.lit(1)).alias("n"))
     drawn = written(drawn, "draws")
     rows = drawn.count()
     picked = drawn.select("lang", "h")
     found = known.withColumn("h", order).join(F.broadcast(picked) if small_enough(rows, 40) else picked, ["lang", "h"])
-    share = DICTIONARY_BYTES // 16
-    texts = found.select("lang", "h", F.substring("text", 1, share).alias("text")).dropDuplicates(["lang", "h"])
+    texts = found.select("lang", "h", F.substring("text", 1, SHARE).alias("text")).dropDuplicates(["lang", "h"])
     by: dict[str, list[tuple[int, bytes]]] = {}
     for r in texts.orderBy("lang", "h").toLocalIterator():
         held = by.setdefault(r["lang"], [])
         if sum(len(t) for _, t in held) < DICTIONARY_BYTES:
-            held.append((r["h"], r["text"].encode()))
-    languages = sorted(by)
+            held.append((r["h"], _folded(r["text"])))
+    often = dict(drawn.groupBy("lang").agg(F.sum("n")).collect())
+    languages = sorted(by, key=lambda k: (-often[k], k))
     return Dictionaries(languages, [b"\n".join(t for _, t in by[k])[:DICTIONARY_BYTES] for k in languages])
 
 
+def _folded(text: str) -> bytes:
+    return text.lower().encode()
+
+
 def _sizes(column: pa.Array, compressors: list):
     for text in column.to_pylist():
         if text is None or not _LETTER.search(text):
             yield None
         else:
-            raw = text.encode()
-            yield [len(c.compress(raw)) for c in compressors]
+            raw = _folded(text)
+            blocks = [raw[at: at + BLOCK_BYTES] for at in range(0, len(raw), BLOCK_BYTES)]
+            sizes = [sum(len(c.compress(b)) for b in blocks) for c in compressors]
+            if len(raw) <= BLOCK_BYTES and sorted(sizes)[:2].count(min(sizes)) == 2:
+                # Whole bytes are too coarse here: add up the sizes of the text without its first 0, 1, 2... bytes.
+                sizes = [sum(len(c.compress(raw[k:])) for k in range(SHIFTS)) for c in compressors]
+            yield sizes
 
 
 def verdict(text: Column, known: Dictionaries, margin: float = MARGIN) -> Column:
-    """``struct<lang, score, rejected>`` of a text. ``lang`` is the smallest size's language (ties: the first by name),
-    ``und`` for a null text, one without a letter, and when nothing was learned; ``score`` grows from 0.5 with the margin
+    """``struct<lang, score, rejected>`` of a text. ``lang`` is the smallest size's language (ties: the more frequent
+    one in training, then by name), ``und`` for a null text, one without a letter, and when nothing was learned; ``score`` grows from 0.5 with the margin
     to the runner-up (0 for ``und``, 1 when one language is known); ``rejected`` when it is ``und`` or the margin is below
     ``margin`` of the runner-up's size."""
     result = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])

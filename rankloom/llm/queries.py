@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import decontaminate, langid, packing, resharding, simhash
+from rankloom.llm import decontaminate, langid, packing, quality, resharding, simhash, toxicity
 from rankloom.llm.common import fold, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,22 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), word_tokenizer(), 2048)
 
 
+@query("op2_ftrl_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = load(spark, sf_dir, "documents"), fold(F.col("doc_id"), 5) == 0
+    weights = toxicity.fit(docs, load(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.scores(docs, weights).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op3_positive_unlabelled_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = load(spark, sf_dir, "documents"), fold(F.col("doc_id"), 4) == 2
+    scorer = quality.fit(docs, load(spark, sf_dir, "labels"), ~held_out)
+    return quality.scores(docs, scorer).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"))
+
+
 def language_dictionaries(docs: DataFrame) -> langid.Dictionaries:
     return langid.learn(docs, fold(F.col("doc_id"), 3) != 1)
 

@@ -6,7 +6,7 @@ A word is a run of bytes of a class; bytes above 127 belong to every class, so n
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +56,7 @@ class Words:
     start: np.ndarray  # of each word
     end: np.ndarray
     text: np.ndarray  # number of its text, from 0
+    _sums: tuple[np.ndarray, np.ndarray] | None = field(default=None, repr=False)
 
     def __len__(self) -> int:
         return len(self.start)
@@ -70,11 +71,24 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word: differences of a running polynomial, moved to the origin."""
-        up, down = _tables(len(self.data) + 1)
-        running = np.zeros(len(self.data) + 1, dtype=np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[: len(self.data)], out=running[1:])
+        running, down = self._running()
         return mixed((running[self.end] - running[self.start]) * down[self.start])
 
+    def stems(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(text, hash of the first ``size`` bytes) of the words with more bytes than that."""
+        running, down = self._running()
+        long = self.end - self.start > size
+        at = self.start[long]
+        return self.text[long], mixed((running[at + size] - running[at]) * down[at])
+
+    def _running(self) -> tuple[np.ndarray, np.ndarray]:
+        if self._sums is None:
+            up, down = _tables(len(self.data) + 1)
+            running = np.zeros(len(self.data) + 1, dtype=np.uint64)
+            np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[: len(self.data)], out=running[1:])
+            self._sums = running, down
+        return self._sums
+
 
 def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string column, without a copy; null is empty."""
