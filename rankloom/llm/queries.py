@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import decontaminate, langid, packing, quality, resharding, simhash, toxicity
+from rankloom.llm import decontaminate, host_rules, langid, packing, quality, resharding, secrets, simhash, toxicity
 from rankloom.llm.common import fold, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,43 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"))
 
 
+def _op4_sql() -> str:
+    kinds = "\n  UNION ALL\n".join(
+        f"  SELECT r, {k} AS k, '{x.kind}' AS kind, {x.least} AS least, string_split_regex(t, '{q}') AS gaps,\n"
+        f"    regexp_extract_all(t, '{q}', 0) AS ms, regexp_extract_all(t, '{q}', {x.value}) AS vs\n"
+        f"  FROM d WHERE regexp_matches(t, '{q}')"
+        for k, x in enumerate(secrets.BASE + secrets.MORE) for q in [x.regex.replace("'", "''")])
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+found AS (
+{kinds}),
+each AS (
+  SELECT *, coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0)
+            + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS start
+  FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM found)),
+spans AS (
+  SELECT r, k, kind, start, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(start + length(ms[i]) AS BIGINT) AS s
+  FROM each WHERE length(vs[i]) >= least),
+by_row AS (
+  SELECT r, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+         string_agg(s, ',' ORDER BY start, k) FILTER (k < 3) AS base, string_agg(s, ',' ORDER BY start, k) AS spans
+  FROM spans GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN by_row USING (r)"""
+
+
+@query("op4_trigram_secret_scan", _op4_sql())
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("secret_spans", lambda x: x["kind_order"] < len(secrets.BASE))
+    counts = [F.size(F.filter("secret_spans", lambda x, k=k: x["kind"] == k)).cast("bigint").alias(f"n_{k}")
+              for k in ("assign", "access", "hex")]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.as_text(base), 256).alias("base_sha256"),
+        secrets.as_text(F.col("secret_spans")).alias("spans"))
+
+
 def language_dictionaries(docs: DataFrame) -> langid.Dictionaries:
     return langid.learn(docs, fold(F.col("doc_id"), 3) != 1)
 
@@ -104,6 +141,42 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.size("spans") > 0).alias("contaminated"))
 
 
+OP7_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+wins AS (SELECT r, i, w[i:i + 4] AS v FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+twice AS (SELECT r, v FROM wins GROUP BY r, v HAVING count(*) > 1),
+rep AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM wins JOIN twice USING (r, v)) GROUP BY r),
+lines AS (
+  SELECT r, count(*) - count(DISTINCT x) AS n FROM (SELECT r, unnest(string_split(t, chr(10))) AS x FROM d)
+  WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY r),
+f AS (
+  SELECT doc_id, source, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(lines.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN rep USING (r) LEFT JOIN lines USING (r)),
+j AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f),
+h AS (SELECT source, count(*) AS n, sum(CAST(base_failed AS INT)) AS failed FROM j WHERE source IS NOT NULL GROUP BY source),
+p AS (SELECT count(*) AS k, avg(failed / n) AS m, var_samp(failed / n) AS v FROM h),
+ab AS (
+  SELECT CASE WHEN ok THEN m * s ELSE 1 END AS a, CASE WHEN ok THEN (1 - m) * s ELSE 1 END AS b
+  FROM (SELECT *, m * (1 - m) / nullif(v, 0) - 1 AS s, k >= 2 AND v > 0 AND m > 0 AND m * (1 - m) / nullif(v, 0) - 1 > 0 AS ok FROM p))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce((failed + a) / (n + a + b) > 0.6, false) AS kept
+FROM j LEFT JOIN h USING (source) CROSS JOIN ab
+"""
+
+
+@query("op7_host_quality_rules", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = host_rules.judge(load(spark, sf_dir, "documents"), F.col("source"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 @query("op8_gray_order_simhash")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(load(spark, sf_dir, "documents"), 3, 2)

@@ -153,10 +153,10 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
     zipped = F.arrays_zip(F.split(text, rule.regex, -1).alias("gap"), matches.alias("match"), values.alias("value"))
 
     def step(state: Column, x: Column) -> Column:
-        start = state["at"] + F.length(x["0"]).cast("bigint")
-        end = start + F.length(x["1"]).cast("bigint")
+        start = state["at"] + F.length(x["gap"]).cast("bigint")
+        end = start + F.length(x["match"]).cast("bigint")
         span = F.struct(start.alias("start"), F.lit(order).alias("kind_order"), end.alias("end"), F.lit(rule.kind).alias("kind"))
-        kept = F.when(F.length(x["2"]) >= rule.least, F.concat(state["out"], F.array(span))).otherwise(state["out"])
+        kept = F.when(F.length(x["value"]) >= rule.least, F.concat(state["out"], F.array(span))).otherwise(state["out"])
         return F.struct(F.coalesce(end, start).alias("at"), kept.alias("out"))
 
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.expr(f"cast(array() as {t})").alias("out"))
