@@ -81,10 +81,12 @@ FROM d LEFT JOIN by_row USING (r)"""
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find(load(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("secret_spans", lambda x: x["kind_order"] < len(secrets.BASE))
-    counts = [F.size(F.filter("secret_spans", lambda x, k=k: x["kind"] == k)).cast("bigint").alias(f"n_{k}")
-              for k in ("assign", "access", "hex")]
+
+    def count(kind: str):
+        return F.size(F.filter("secret_spans", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
     return found.select(
-        "doc_id", *counts, F.sha2(secrets.as_text(base), 256).alias("base_sha256"),
+        "doc_id", *(count(x.kind) for x in secrets.BASE), F.sha2(secrets.as_text(base), 256).alias("base_sha256"),
         secrets.as_text(F.col("secret_spans")).alias("spans"))
 
 
