@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import decontaminate, host_rules, langid, packing, quality, resharding, secrets, simhash, toxicity
+from rankloom.llm import decontaminate, host_rules, langid, packing, quality, resharding, secrets, simhash, style_tree, toxicity
 from rankloom.llm.common import fold, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,3 +191,15 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return moves.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "old_shard", "moved")
+
+
+@query("op10_style_tree_extraction")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return style_tree.extract(load(spark, sf_dir, "pages"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpus_pipeline import run
+
+    return run(spark, sf_dir)
