@@ -23,6 +23,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def compact(df: DataFrame, rows: int, per_task: int = 1_000_000) -> DataFrame:
+    """No more tasks, and so files, than ``rows`` need: at least two for each core, else one for ``per_task`` rows. For
+    narrow rows only; a cluster whose shuffles have many small partitions would write as many small files."""
+    return df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, buckets_for(rows, per_task)))
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankloom.llm.common import buckets_for, written
+from rankloom.llm.common import buckets_for, compact, written
 from rankloom.llm.words import ALNUM, Words, mixed, words_of
 
 #: Windows of one broadcast slice, about 250 bytes each in a task.
@@ -106,7 +106,7 @@ class HashSet:
 
 def _slices(benchmark: DataFrame, size: int):
     """The broadcast hash sets, one after another."""
-    found = written(windows(benchmark, size), "windows")
+    found = written(compact(windows(benchmark, size), 0), "windows")
     slices = buckets_for(found.count(), WINDOWS_PER_SLICE)
     sc = benchmark.sparkSession.sparkContext
     for k in range(slices):

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import joined, written
+from rankloom.llm.common import compact, joined, written
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -96,7 +96,7 @@ def host_verdicts(judged: DataFrame) -> DataFrame:
     """``host``, ``n``, ``failed``, the shrunk ``rate`` and ``host_failed``. Rows without a host belong to none."""
     hosts = judged.where("host IS NOT NULL").groupBy("host").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("base_failed").cast("bigint")).alias("failed"))
-    hosts = written(hosts, "hosts")
+    hosts = written(compact(hosts, 0), "hosts")
     prior = beta_prior(hosts).first()
     rate = (F.col("failed") + F.lit(prior["a"])) / (F.col("n") + F.lit(prior["a"] + prior["b"]))
     return hosts.withColumn("rate", rate).withColumn("host_failed", F.col("rate") > MAX_HOST_RATE)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import small_enough, written
+from rankloom.llm.common import compact, small_enough, written
 
 UNKNOWN = "und"
 #: Bytes of a language's dictionary; texts are drawn into it until it is full.
@@ -61,7 +61,7 @@ def learn(docs: DataFrame, training: Column) -> Dictionaries:
         F.col("text").rlike(r"\p{L}"))
     ranked = known.select("lang", order.alias("h")).withColumn("bucket", F.pmod("h", F.lit(DRAWS)))
     drawn = ranked.groupBy("lang", "bucket").agg(F.min("h").alias("h"), F.count(F.lit(1)).alias("n"))
-    drawn = written(drawn, "draws")
+    drawn = written(compact(drawn, 0), "draws")
     rows = drawn.count()
     picked = drawn.select("lang", "h")
     found = known.withColumn("h", order).join(F.broadcast(picked) if small_enough(rows, 40) else picked, ["lang", "h"])

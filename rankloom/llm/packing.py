@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from rankloom.llm.common import buckets_for, written
+from rankloom.llm.common import buckets_for, compact, written
 from rankloom.llm.words import UNSPACED, words_of
 
 #: Distinct runs whose ids a worker remembers before it starts anew. About 200 bytes each.
@@ -266,4 +266,5 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048) -> DataFram
     pieces = written(token_pieces(docs, tokenizer_path, capacity), "pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     runs = best_fit_decreasing(histogram, capacity)
-    return placed(numbered_in_length(pieces, sum(histogram.values())), runs)
+    rows = sum(histogram.values())
+    return placed(compact(numbered_in_length(pieces, rows), rows), runs)

@@ -16,7 +16,7 @@ from re import _parser as regex_parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import joined, written
+from rankloom.llm.common import compact, joined, written
 
 #: Strings that a part of a regex may stand for before it counts as anything.
 MAX_STRINGS = 64
@@ -172,7 +172,8 @@ def find(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE) -> DataFrame:
     names = [n for n in docs.columns if n != "secret_spans"]
     plain = docs.select(*(F.col(f"`{n}`") for n in names)).toDF(*(f"c{i}" for i in range(len(names))))
     text = F.coalesce(F.col(f"c{names.index('text')}").cast("string"), F.lit(""))
-    asked = written(candidates(build_index(plain.select(text.alias("text")), rules), rules), "candidates")
+    asked = candidates(build_index(plain.select(text.alias("text")), rules), rules)
+    asked = written(compact(asked, 0), "candidates")
     rows = joined(plain.withColumn("content", _content(text)), asked, "content", "left", asked.count(), 32)
 
     none = F.expr("cast(array() as array<struct<start: bigint, kind_order: int, end: bigint, kind: string>>)")
@@ -209,12 +210,12 @@ def redacted(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, mark: str =
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
     folded = F.aggregate(F.col("secret_spans"), start, step)
     rest = F.concat(folded["out"], text.substr(folded["at"].cast("int") + 1, F.length(text)))
-    new = F.when(F.size("secret_spans") > 0, rest).otherwise(text)
-    columns = {"text": new}
+    # The new text is a column of its own before its length is taken.
+    out = found.withColumn("text", F.when(F.size("secret_spans") > 0, rest).otherwise(text))
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        columns["n_chars"] = F.when(F.size("secret_spans") > 0, F.length(new).cast(kind)).otherwise(F.col("n_chars"))
-    return found.withColumns(columns).select(*(F.col(f"`{n}`") for n in docs.columns))
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.when(F.size("secret_spans") > 0, length).otherwise(F.col("n_chars")))
+    return out.select(*(F.col(f"`{n}`") for n in docs.columns))
 
 
 def _check(rules: tuple[Rule, ...]) -> None:

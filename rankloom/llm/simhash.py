@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from rankloom.llm.common import written
+from rankloom.llm.common import compact, written
 from rankloom.llm.words import LOWER, UNSPACED, words_of
 
 #: Fingerprints in a leaf of the tree.
@@ -216,11 +216,12 @@ def links(distinct: DataFrame, limit: int = 2) -> DataFrame:
     return alone.sortWithinPartitions("mask", "value").mapInArrow(search, "a bigint, b bigint").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rows: int = 0) -> DataFrame:
     """``fp``, ``root`` for every end of an edge: the smallest fingerprint reachable. Large stars and small stars in turn,
-    until every component is a star; every round is written, and no node's neighbours are gathered."""
+    until every component is a star; every round is written, and no node's neighbours are gathered. ``rows`` is about how
+    many edges there are."""
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
-    edges = written(edges.distinct(), "edges")
+    edges = written(compact(edges.distinct(), rows), "edges")
     while True:
         both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("_m")).select("a", F.least("a", "_m").alias("m"))
@@ -230,7 +231,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(low, "a").select(
             F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))
             .alias("e")).select("e.a", "e.b").where("a <> b").distinct()
-        edges = written(small, "edges")
+        edges = written(compact(small, rows), "edges")
         parents = edges.agg(F.count(F.lit(1)) == F.countDistinct("a")).first()[0]
         if parents and edges.join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty():
             break
@@ -251,15 +252,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, limit: int = 2) -> DataFr
     least = _least(printed, F.col("doc_id"), limit)
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     # One row per fingerprint on the right side: a hot fingerprint can be split on the left.
-    return printed.join(least, "fp", "left").select("doc_id", hexed.alias("fingerprint"), F.col("least").alias("component_id"))
+    return compact(printed.join(least, "fp", "left"), printed.count()).select("doc_id", hexed.alias("fingerprint"), F.col("least").alias("component_id"))
 
 
 def _least(printed: DataFrame, what: Column, limit: int) -> DataFrame:
     """For every distinct ``fp``, the smallest ``what`` in its component."""
-    distinct = written(printed.groupBy("fp").agg(F.min(what).alias("first")), "distinct")
-    roots = components(links(distinct.select("fp"), limit))
+    rows = printed.count()
+    distinct = written(compact(printed.groupBy("fp").agg(F.min(what).alias("first")), rows), "distinct")
+    roots = components(links(distinct.select("fp"), limit), rows)
     rooted = distinct.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    rooted = written(rooted, "rooted")
+    rooted = written(compact(rooted, rows), "rooted")
     best = rooted.groupBy("root").agg(F.min("first").alias("least"))
     return rooted.join(best, "root").select("fp", "least")
 
