@@ -25,7 +25,9 @@ from rankloom.llm.common import buckets_for, compact, written
 from rankloom.llm.words import UNSPACED, words_of
 
 #: Distinct runs whose ids a worker remembers before it starts anew. About 200 bytes each.
-REMEMBERED_RUNS = 500_000
+REMEMBERED_RUNS = 450_000
+#: Runs of up to so many bytes are kept when the others are forgotten.
+SHORT_RUN = 8
 #: Rows of one window that numbers pieces of equal length.
 ROWS_PER_BUCKET = 1024
 
@@ -50,27 +52,43 @@ class RunIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.tokenizer.encode_special_tokens = True
-        self._forget()
+        self._start()
 
-    def _forget(self) -> None:
+    def _start(self) -> None:
         self.rows: dict[bytes, int] = {}
         self.ids = np.empty(1 << 20, dtype=np.uint32)
         self.begin = np.zeros(1 << 18, dtype=np.int64)  # of each row in ids; the next one's is its end
 
+    def _forget(self) -> None:
+        """Keep the short runs, which come again and again, as long as they leave room for others."""
+        kept, longest = list(self.rows.items()), SHORT_RUN
+        while len(kept) > REMEMBERED_RUNS // 2:
+            kept, longest = [(run, row) for run, row in kept if len(run) <= longest], longest - 1
+        ids, begin = self.ids, self.begin
+        self._start()
+        if kept:
+            row = np.fromiter((r for _, r in kept), dtype=np.int64, count=len(kept))
+            self._store([run for run, _ in kept], np.concatenate([ids[begin[r]: begin[r + 1]] for r in row]),
+                        begin[row + 1] - begin[row])
+
+    def _store(self, runs: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        row = len(self.rows)
+        ends = self.begin[row] + np.cumsum(sizes)
+        while ends[-1] > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        while row + len(runs) + 1 > len(self.begin):
+            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
+        self.ids[self.begin[row]: ends[-1]] = ids
+        self.begin[row + 1: row + 1 + len(runs)] = ends
+        self.rows.update(zip(runs, range(row, row + len(runs))))
+
     def _learn(self, runs: list[bytes]) -> None:
         for at in range(0, len(runs), 5_000):  # an encoding holds far more than the ids
             some = runs[at: at + 5_000]
             ids = [e.ids for e in self.tokenizer.encode_batch_fast(
                 [r.decode() for r in some], add_special_tokens=False)]
-            row = len(self.rows)
-            ends = self.begin[row] + np.cumsum(np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)))
-            while ends[-1] > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-            while row + len(some) + 1 > len(self.begin):
-                self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
-            self.ids[self.begin[row]: ends[-1]] = np.fromiter(chain.from_iterable(ids), dtype=np.uint32)
-            self.begin[row + 1: row + 1 + len(some)] = ends
-            self.rows.update(zip(some, range(row, row + len(some))))
+            self._store(some, np.fromiter(chain.from_iterable(ids), dtype=np.uint32),
+                        np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)))
 
     def of(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text."""
