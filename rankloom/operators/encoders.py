@@ -186,6 +186,8 @@ class SmoothedTargetEncoder(_EncoderEstimator):
             )
         )
         total = stats.where("overall = 1").first()
+        if total is None or not total["n"]:
+            raise ValueError(f"the target encoder of {col} needs at least one row with a {label!r}")
         prior = total["s"] / total["n"]
         w = 1 / (1 + F.exp(-(F.col("n") - self.getOrDefault("k")) / self.getOrDefault("f")))
         levels = stats.where((F.col("overall") == 0) & F.col(col).isNotNull()).select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from rankloom.functions.numbers import indicator
 from rankloom.operators.ranking import group_ranks, window_rank
 from rankloom.operators.reshape import distinct_items, pivot_target
-from rankloom.operators.skew import salted
+from rankloom.operators.skew import not_null_keys, salted
 
 PAIR_SEPARATOR = "__"
 
@@ -77,13 +78,18 @@ def _wide_pairs(df, factors, item, target, items, fill) -> DataFrame:
 
 
 def pair_name(a, b) -> str:
-    return f"{a}{PAIR_SEPARATOR}{b}"
+    """``a__b``. Underscores of an item that could be taken for the separator, and the escape sign, are escaped."""
+    return PAIR_SEPARATOR.join(re.sub("^_|_$|_(?=_)|(?<=_)_", "%5F", str(i).replace("%", "%25")) for i in (a, b))
 
 
 def split_pair_name(name: str) -> list[Column]:
     """The two items of a wide pair column's name."""
     parts = F.split(F.col(name), PAIR_SEPARATOR)
-    return [parts.getItem(0).alias("item_a"), parts.getItem(1).alias("item_b")]
+
+    def item(k: int) -> Column:
+        return F.replace(F.replace(parts.getItem(k), F.lit("%5F"), F.lit("_")), F.lit("%25"), F.lit("%"))
+
+    return [item(0).alias("item_a"), item(1).alias("item_b")]
 
 
 def wins(pairs: DataFrame, factors: Sequence[str], item: str = "encoder", a_better: str = "a_better",
@@ -104,7 +110,8 @@ def wins_without_pairs(df: DataFrame, factors: Sequence[str], item: str, target:
                        ) -> DataFrame:
     """A12 straight from an observed target: an item beats exactly the items with a larger target, so its wins are
     its descending min-rank. Linear in the rows; no pair is ever formed."""
-    ranked = group_ranks(df.where(F.col(target).isNotNull()), factors, target, "wins", "min", False, bounded)
+    rows = not_null_keys(df, factors).where(F.col(target).isNotNull())
+    ranked = group_ranks(rows, factors, target, "wins", "min", False, bounded)
     return ranked.select(*factors, item, F.col("wins").cast("bigint").alias("wins"))
 
 

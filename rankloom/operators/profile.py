@@ -82,14 +82,15 @@ def null_ratio_overall(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def null_ratio_by_level(df: DataFrame, levels: Sequence[str], value: str) -> DataFrame:
-    """Missing values per level of each listed factor, all factors in one pass with grouping sets."""
-    text = [F.col(c).cast("string").alias(c) for c in levels]
-    base = not_null_keys(df.select(*text, value), levels)
+    """Missing values per level of each listed factor, all factors in one pass with grouping sets. A row without a
+    level of one factor still counts for the others."""
+    base = df.select(*[F.col(c).cast("string").alias(c) for c in levels], value)
     grouped = base.groupingSets([[F.col(c)] for c in levels], *[F.col(c) for c in levels]).agg(
-        F.count(F.lit(1)).alias("cells"), (F.count(F.lit(1)) - F.count(value)).alias("nulls")
+        F.count(F.lit(1)).alias("cells"), (F.count(F.lit(1)) - F.count(value)).alias("nulls"),
+        F.coalesce(*[F.when(F.grouping(c) == 0, F.lit(c)) for c in levels]).alias("_factor"),
     )
-    factor = F.coalesce(*[F.when(F.col(c).isNotNull(), F.lit(c)) for c in levels])
-    return grouped.select(
+    factor = F.col("_factor")
+    return grouped.where(F.coalesce(*levels).isNotNull()).select(
         factor.alias("factor"), F.coalesce(*levels).alias("level"), "cells", "nulls",
         safe_ratio(F.col("nulls"), F.col("cells")).alias("null_ratio"),
     )

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.functions.keys import md5_order
 from rankloom.functions.numbers import pearson_from_sums
-from rankloom.operators.skew import has_hot_group, hash_positions, value_positions
+from rankloom.operators.skew import has_hot_group, hash_positions, not_null_keys, value_positions
 
+SALTS = 64  # parts of a group that a top-k is taken of first
 RANK_KINDS = ("dense", "min", "average")
 
 
@@ -26,18 +29,20 @@ def group_ranks(
     kind: str = "dense",
     ascending: bool = False,
     bounded: bool = False,
+    limit: int | None = None,
 ) -> DataFrame:
     """Add the 0-based ``dense`` or ``min`` rank, or the 1-based ``average`` rank, of ``value`` in its group.
 
-    NULL gets a NULL rank. ``bounded=True`` states that the rows of a group are few by construction (for instance one
+    NULL gets a NULL rank, and so does a row with a missing factor, which belongs to no group. Groups above ``limit`` rows
+    (default: the configured one) are not sorted in one task. ``bounded=True`` states that the rows of a group are few by construction (for instance one
     row per item after an aggregate) and keeps the single-exchange window without sizing the groups first.
     """
     if kind not in RANK_KINDS:
         raise ValueError(f"unknown rank kind {kind!r}")
     factors = list(factors)
-    if bounded or not has_hot_group(df, factors):
+    if bounded or not has_hot_group(df, factors, limit):
         return df.withColumn(out, window_rank(factors, value, kind, ascending))
-    table = value_positions(df, factors, value, ascending).select(
+    table = value_positions(df, factors, value, ascending, limit).select(
         *factors, value,
         {
             "dense": F.col("distinct_before").cast("int"),
@@ -45,7 +50,7 @@ def group_ranks(
             "average": F.col("before") + (F.col("n") + 1) / 2,
         }[kind].alias(out),
     )
-    return df.join(table, [*factors, value], "left")
+    return df.join(table, [*factors, value], "left").select(*df.columns, out)
 
 
 def window_rank(factors: Sequence[str], value: str, kind: str, ascending: bool) -> Column:
@@ -58,7 +63,7 @@ def window_rank(factors: Sequence[str], value: str, kind: str, ascending: bool)
     else:
         ties = F.count(F.lit(1)).over(Window.partitionBy(*factors, value))
         rank = F.rank().over(w) + (ties - 1) / 2
-    return F.when(F.col(value).isNotNull(), rank)
+    return F.when(reduce(and_, [F.col(c).isNotNull() for c in [*factors, value]]), rank)
 
 
 def score_to_rank(
@@ -68,9 +73,10 @@ def score_to_rank(
     ascending: bool = False,
     out: str = "rank",
     bounded: bool = False,
+    limit: int | None = None,
 ) -> DataFrame:
     """0-based dense rank; ``ascending=False`` puts the largest score first."""
-    return group_ranks(df, factors, score, out, "dense", ascending, bounded)
+    return group_ranks(df, factors, score, out, "dense", ascending, bounded, limit)
 
 
 def rankings(
@@ -91,25 +97,27 @@ def rankings(
     return pivot_target(ranked, factors, item, "rank", items=items, fill=None)
 
 
-def spearman_by_group(df: DataFrame, factors: Sequence[str], a: str, b: str, bounded: bool = False) -> DataFrame:
+def spearman_by_group(
+    df: DataFrame, factors: Sequence[str], a: str, b: str, bounded: bool = False, limit: int | None = None
+) -> DataFrame:
     """Tie-aware Spearman correlation of two columns per group.
 
-    Rows where either side is NULL are left out. ``rho`` is NULL for a group with a constant side or no usable row.
+    Rows where either side is NULL are left out, rows with a missing factor belong to no group. ``rho`` is NULL for a group with a constant side or no usable row.
     """
     factors = list(factors)
     both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    pairs = df.select(
+    pairs = not_null_keys(df, factors).select(
         *factors,
         F.when(both, F.col(a).cast("double")).alias("_a"),
         F.when(both, F.col(b).cast("double")).alias("_b"),
     )
-    if bounded or not has_hot_group(pairs, factors):
+    if bounded or not has_hot_group(pairs, factors, limit):
         ranked = pairs.withColumns(
             {"_ra": window_rank(factors, "_a", "average", True), "_rb": window_rank(factors, "_b", "average", True)}
         )
     else:
-        ranked = group_ranks(pairs, factors, "_a", "_ra", "average", True)
-        ranked = group_ranks(ranked, factors, "_b", "_rb", "average", True)
+        ranked = group_ranks(pairs, factors, "_a", "_ra", "average", True, limit=0)  # sized already
+        ranked = group_ranks(ranked, factors, "_b", "_rb", "average", True, limit=0)
     x, y = F.col("_ra"), F.col("_rb")
     sums = ranked.groupBy(*factors).agg(
         F.count("_ra").alias("n"),
@@ -136,11 +144,13 @@ def ndcg_by_group(
     k: int | None = None,
     seed: int = 0,
     bounded: bool = False,
+    limit: int | None = None,
 ) -> DataFrame:
-    """NDCG of the order by descending ``score``; larger relevance is more relevant, ties by seeded item hash."""
+    """NDCG of the order by descending ``score``; larger relevance is more relevant, ties by seeded item hash. Rows
+    without relevance or score are left out, rows with a missing factor belong to no group."""
     factors = list(factors)
-    rows = df.where(F.col(relevance).isNotNull() & F.col(score).isNotNull()).select(*factors, item, relevance, score)
-    if bounded or not has_hot_group(rows, factors):
+    rows = not_null_keys(df, factors).where(F.col(relevance).isNotNull() & F.col(score).isNotNull()).select(*factors, item, relevance, score)
+    if bounded or not has_hot_group(rows, factors, limit):
         tie = [md5_order(seed, [item]), F.col(item)]
         placed = rows.withColumns(
             {
@@ -163,14 +173,22 @@ def ndcg_by_group(
 
 def _positions(df: DataFrame, factors: list[str], value: str, item: str, seed: int, out: str) -> DataFrame:
     """Row number by descending value, ties in hash order, for groups and tie runs of any size."""
-    first = group_ranks(df, factors, value, "_first", "min", False)
+    first = group_ranks(df, factors, value, "_first", "min", False, limit=0)  # sized already
     return hash_positions(first, [*factors, value], [item], seed, "_tie").withColumn(
         out, F.col("_first") + F.col("_tie")
     ).drop("_first", "_tie")
 
 
 def top_k_items(df: DataFrame, factors: Sequence[str], item: str, score: str, k: int) -> DataFrame:
-    """The k best items of each group. The rank limit is applied map-side before the exchange, so at most k rows
-    of a group leave each task, however large the group is."""
-    w = Window.partitionBy(*factors).orderBy(F.desc_nulls_last(score), F.col(item))
-    return df.withColumn("position", F.row_number().over(w)).where(F.col("position") <= k)
+    """The k best items of each group; rows with a missing factor belong to none.
+
+    A first stage keeps the k best of each of ``SALTS`` parts of a group, so that no task sorts a large group, whatever k
+    is; the second picks among these.
+    """
+    order = [F.desc_nulls_last(score), F.col(item)]
+    part = F.pmod(F.xxhash64(item, score), F.lit(SALTS))
+    inner = Window.partitionBy(*factors, "_part").orderBy(*order)
+    rows = not_null_keys(df, factors).withColumn("_part", part)
+    best = rows.withColumn("_n", F.row_number().over(inner)).where(F.col("_n") <= k).drop("_n", "_part")
+    w = Window.partitionBy(*factors).orderBy(*order)
+    return best.withColumn("position", F.row_number().over(w)).where(F.col("position") <= k)

@@ -32,11 +32,17 @@ def pivot_target(
     """One row per group, one column per item.
 
     Missing cells get the worst (largest) target of the whole frame, of their column or of their row. Two rows for one
-    (group, item) are an error.
+    (group, item) are an error, and so is a row whose item is not among ``items``. Rows without an item are no cells.
     """
     if fill not in FILLS:
         raise ValueError(f"unknown fill {fill!r}")
-    items = distinct_items(df, item) if items is None else list(items)
+    if items is None:
+        items = distinct_items(df, item)
+    else:
+        items = list(items)
+        unlisted = F.raise_error(F.concat(F.lit(f"not among the listed items of {item}: "), F.col(item).cast("string")))
+        known = F.col(item).isin(items) | F.col(item).isNull()
+        df = df.withColumn(item, F.when(known, F.col(item)).otherwise(unlisted.cast(df.schema[item].dataType)))
     clash = F.raise_error(F.lit(f"two rows for one ({', '.join(factors)}, {item})"))
     kind = df.schema[target].dataType
     once = F.when(F.count(F.lit(1)) > 1, clash.cast(kind)).otherwise(F.max(target))

@@ -5,23 +5,29 @@ and it breaks when one group holds a large share of the table. The operators her
 aggregate over the key columns only; when no group is too large they keep the plain window, otherwise they
 
 1. reduce each group to its distinct values with counts (combined map-side, so repeated values cost nothing),
-2. cut the value axis of each large group at sketched quantiles, so that a group spreads over many tasks,
-3. number the values inside each cut and add the totals of the cuts before it.
+2. deal these by a range exchange on (group, value), so that a group spreads over as many tasks as it needs,
+3. number the values inside each range and add the totals of the ranges before it.
+
+A row with a missing group key belongs to no group, whichever plan runs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.functions.keys import md5_order
-from rankloom.session import pin_state
+from rankloom.session import durable, pin_state
 
 HOT_ROWS_CONF = "rankloom.hotGroupRows"
 HOT_ROWS_DEFAULT = 2_000_000
-PREFIX_DIGITS = 3  # hash order is cut by its first hex digits: 4096 cuts
+# Hash order is cut by its first hex digits: a million cuts, so that neither the rows of a cut nor the cuts of a group are
+# more than one task sorts, up to 10^12 rows in a group.
+PREFIX_DIGITS = 5
 
 
 def hot_limit(df: DataFrame) -> int:
@@ -37,65 +43,48 @@ def hot_groups(df: DataFrame, keys: Sequence[str], limit: int | None = None) ->
 
 
 def has_hot_group(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> bool:
-    return not hot_groups(df, keys, limit).isEmpty()
+    """One aggregate over the key columns; without keys the table is the group."""
+    limit = hot_limit(df) if limit is None else limit
+    if limit <= 0:  # every group counts as hot
+        return True
+    if not keys:
+        return df.count() > limit
+    return not df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).isEmpty()
 
 
-def value_positions(df: DataFrame, keys: Sequence[str], value: str, ascending: bool = True) -> DataFrame:
+def value_positions(
+    df: DataFrame, keys: Sequence[str], value: str, ascending: bool = True, limit: int | None = None
+) -> DataFrame:
     """Distinct non-null values per group with ``n`` (rows), ``before`` (rows ahead) and ``distinct_before``.
 
     Every tie-aware rank follows from these three numbers, and the table is never larger than the distinct values.
-    ``keys`` may be empty: the whole table is then one group.
+    ``keys`` may be empty: the whole table is then one group. Rows with a missing key are left out.
     """
     keys = list(keys)
-    vals = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    order = F.col(value).asc() if ascending else F.col(value).desc()
-    hot = hot_groups(vals, keys) if keys else _whole_table_hot(vals)
-    if hot is None or hot.isEmpty():
-        w = Window.partitionBy(*keys).orderBy(order)
-        running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return vals.select(
-            *keys, value, "n",
-            (F.sum("n").over(running) - F.col("n")).alias("before"),
-            (F.row_number().over(w) - 1).cast("bigint").alias("distinct_before"),
-        )
-    return _cut_positions(vals, keys, value, ascending, hot)
-
-
-def _whole_table_hot(vals: DataFrame) -> DataFrame | None:
-    n = vals.count()
-    return vals.sparkSession.createDataFrame([(n,)], "n long") if n > hot_limit(vals) else None
-
-
-def _cut_positions(vals: DataFrame, keys: list[str], value: str, ascending: bool, hot: DataFrame) -> DataFrame:
-    limit = hot_limit(vals)
-    # As many cuts as the largest group needs, so that each cut of it is about half the limit.
-    largest = hot.agg(F.max("n")).first()[0]
-    cuts = max(2, -(-2 * largest // limit))
-    probs = [i / cuts for i in range(1, cuts)]
-    in_hot = vals.join(hot.select(*keys), keys, "left_semi") if keys else vals
-    # Pinned: a sketch merged in another order gives other cut points, and all branches below must see the same.
-    bounds = pin_state(
-        in_hot.groupBy(*keys).agg(
-            F.array_sort(F.array_distinct(F.percentile_approx(value, F.array(*map(F.lit, probs)), 10 * cuts)))
-            .alias("_bounds")
-        )
+    vals = not_null_keys(df, keys).where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+    if has_hot_group(vals, keys, limit):
+        return _range_positions(vals, keys, value, ascending)
+    w = Window.partitionBy(*keys).orderBy(F.col(value).asc() if ascending else F.col(value).desc())
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return vals.select(
+        *keys, value, "n",
+        (F.sum("n").over(running) - F.col("n")).alias("before"),
+        (F.row_number().over(w) - 1).cast("bigint").alias("distinct_before"),
     )
-    if keys:
-        with_bounds = vals.join(bounds, keys, "left")
-    else:
-        with_bounds = vals.withColumn("_bounds", F.array(*map(F.lit, bounds.first()["_bounds"])))
-    ahead = F.size(F.filter("_bounds", lambda b: b < F.col(value)))
-    cut = F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(ahead if ascending else -ahead)
-    placed = with_bounds.withColumn("_cut", cut).drop("_bounds")
-
-    in_cut = Window.partitionBy(*keys, "_cut").orderBy(F.col(value).asc() if ascending else F.col(value).desc())
+
+
+def _range_positions(vals: DataFrame, keys: list[str], value: str, ascending: bool) -> DataFrame:
+    order = F.col(value).asc() if ascending else F.col(value).desc()
+    # Pinned: a range exchange that runs anew may cut elsewhere, and both branches below must see the same ranges.
+    placed = durable(vals.repartitionByRange(*keys, order).withColumn("_cut", F.spark_partition_id()))
+    in_cut = Window.partitionBy(*keys, "_cut").orderBy(order)
     running = in_cut.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = placed.select(
         *keys, value, "n", "_cut",
         (F.sum("n").over(running) - F.col("n")).alias("_before"),
         (F.row_number().over(in_cut) - 1).alias("_distinct"),
     )
-    # One row per group and cut: the window below never sees more than `cuts` rows of one group.
+    # One row per group and range: the window below sees no more rows of a group than there are partitions.
     before = Window.partitionBy(*keys).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
     totals = (
         placed.groupBy(*keys, "_cut").agg(F.sum("n").alias("_rows"), F.count(F.lit(1)).alias("_vals"))
@@ -115,8 +104,8 @@ def _cut_positions(vals: DataFrame, keys: list[str], value: str, ascending: bool
 def hash_positions(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], seed: int, name: str) -> DataFrame:
     """1-based position of each row inside its group in the seeded hash order of ``order_cols``.
 
-    The hash is uniform, so cutting it by its leading hex digits spreads a group evenly whatever its size, and no
-    sizing pass is needed: position = position inside the cut + rows of the cuts ahead.
+    Rows with a missing key form a group of their own. The hash is uniform, so cutting it by its leading hex digits spreads
+    a group evenly whatever its size, and no sizing pass is needed: position = position inside the cut + rows of the cuts ahead.
     """
     keys = list(keys)
     base = df.withColumn("_h", md5_order(seed, order_cols)).withColumn("_cut", F.substring("_h", 1, PREFIX_DIGITS))
@@ -127,7 +116,11 @@ def hash_positions(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
         *keys, "_cut", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_ahead")
     )
     local = base.withColumn("_local", F.row_number().over(in_cut))
-    return local.join(ahead, [*keys, "_cut"]).withColumn(name, (F.col("_local") + F.col("_ahead")).cast("bigint")).drop(
+    # A missing key is a key here: every row gets a position.
+    ahead = ahead.withColumnsRenamed({k: f"_k_{k}" for k in [*keys, "_cut"]})
+    same = reduce(and_, [local[k].eqNullSafe(ahead[f"_k_{k}"]) for k in [*keys, "_cut"]])
+    placed = local.join(ahead, same).drop(*[f"_k_{k}" for k in [*keys, "_cut"]])
+    return placed.withColumn(name, (F.col("_local") + F.col("_ahead")).cast("bigint")).drop(
         "_h", "_cut", "_local", "_ahead"
     )
 

@@ -129,11 +129,13 @@ class RankBinarizerModel:
 
     def inverse(self, df: DataFrame, columns: Sequence[str] | None = None, out: str | None = None) -> DataFrame:
         columns = list(columns or self.output_names())
-        total = sum([F.col(c) for c in columns[1:]], start=F.col(columns[0]))
+        total = sum([F.col(c) for c in columns[1:]], start=F.col(columns[0])) if columns else F.lit(0)
         return df.select(*[c for c in df.columns if c not in set(columns)], total.alias(out or self.target))
 
     def steps(self) -> Column:
         """The binary targets as an array column, for the long layout (one row per threshold)."""
+        if not self.top:  # one rank only: no threshold
+            return F.expr("cast(array() as array<struct<step: int, above: int>>)")
         return F.transform(
             F.sequence(F.lit(0), F.lit(self.top - 1)),
             lambda i: F.struct(i.alias("step"), (F.col(self.target) > i).cast("int").alias("above")),

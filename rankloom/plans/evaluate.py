@@ -107,8 +107,12 @@ def _fold(spec, rows, where, i, folds, frac, mode, seed, stratum) -> tuple:
 
 def holdout(spec: ModelSpec, df: DataFrame, where: Setting, frac: float = 0.75, seed: int = 42,
             row_id: str | None = None) -> DataFrame:
-    """One split, the metrics of the framing as ``metric, score``. Without factors rows are split (V2)."""
-    rows = df.select(*where.roles).persist()
+    """One split, the metrics of the framing as ``metric, score``. Without factors rows are split (V2), by ``row_id``."""
+    if not where.factors and row_id is None:
+        raise ValueError("a split of rows without factors needs row_id, a column that tells the rows apart")
+    own = [] if row_id is None or row_id in where.roles else [row_id]
+    rows = df.select(*where.roles, *own).persist()
+    scored = None
     try:
         if where.factors:
             train, test = _sides(rows, where, 0, 1, frac, "resample", seed, None)
@@ -124,8 +128,9 @@ def holdout(spec: ModelSpec, df: DataFrame, where: Setting, frac: float = 0.75,
             found |= classification_metrics(scored, where.target, "prediction").first().asDict()
         if where.factors:
             found["spearman"] = average_spearman(scored, where.factors, where.target, "prediction").first()["mean_rho"]
-        scored.unpersist()
     finally:
+        if scored is not None:
+            scored.unpersist()
         rows.unpersist()
     return df.sparkSession.createDataFrame(
         [(spec.name, m, None if v is None else float(v)) for m, v in found.items()],
@@ -161,22 +166,29 @@ class Real:
         return rng.uniform(self.low, self.high)
 
 
-def infer_space(lists: Mapping[str, Sequence]) -> dict[str, Choice | Integer | Real]:
-    """V9: a typed space from plain lists: two integers or floats are a range, anything else a choice. The type is
-    the most common one among the values that are not None."""
-    space = {}
-    for name, values in lists.items():
-        kinds = [type(v) for v in values if v is not None]
-        if not kinds:
-            raise ValueError(f"all values of {name} are None")
-        kind = max(kinds, key=kinds.count)
-        if kind is int:
-            space[name] = Integer(values[0], values[1])
-        elif kind is float:
-            space[name] = Real(values[0], values[1])
-        else:
-            space[name] = Choice(tuple(values))
-    return space
+def search_axis(name: str, values: Any) -> Choice | Integer | Real:
+    """One axis of a search space. A typed axis stays what it is; exactly two numbers bound a range, of whole numbers if
+    both are whole; any other sequence is a choice. Values of different kinds on one axis are an error."""
+    if isinstance(values, (Choice, Integer, Real)):
+        return values
+    options = tuple(values)
+    given = [v for v in options if v is not None]
+    if not given:
+        raise ValueError(f"{name} has no value to search")
+    numeric = [isinstance(v, (int, float)) and not isinstance(v, bool) for v in given]
+    if not all(numeric) and (any(numeric) or len({type(v) for v in given}) > 1):
+        raise ValueError(f"{name} mixes values of different kinds: {options}")
+    if not all(numeric) or len(given) != 2 or len(options) != 2:
+        return Choice(options)
+    low, high = given
+    if low > high:
+        raise ValueError(f"{name}: the lower bound {low} is above {high}")
+    return Integer(low, high) if isinstance(low, int) and isinstance(high, int) else Real(float(low), float(high))
+
+
+def infer_space(lists: Mapping[str, Any]) -> dict[str, Choice | Integer | Real]:
+    """V9: a typed space, axis by axis."""
+    return {name: search_axis(name, values) for name, values in lists.items()}
 
 
 def trial_settings(space: Mapping[str, Any], mode: str, trials: int, seed: int) -> list[dict]:
@@ -187,8 +199,8 @@ def trial_settings(space: Mapping[str, Any], mode: str, trials: int, seed: int)
     if mode != "random":
         raise ValueError(f"unknown mode {mode!r}")
     rng = random.Random(seed)
-    typed = {n: s if hasattr(s, "draw") else infer_space({n: s})[n] for n, s in space.items()}
-    return [{n: s.draw(rng) for n, s in typed.items()} for _ in range(trials)]
+    axes = infer_space(space)
+    return [{name: axis.draw(rng) for name, axis in axes.items()} for _ in range(trials)]
 
 
 def search(

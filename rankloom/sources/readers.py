@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,19 +67,21 @@ def read_wide_rankings(
 ) -> DataFrame:
     """A matrix CSV (items down, one column per group, one header line per factor) melted to long rows.
 
-    Only the header lines reach the driver. The data lines are parsed with generated column names, unpivoted on the
-    cluster and joined with the header table; missing cells stay as NULL.
+    Only the header lines reach the driver. A line that repeats a whole header line, as each further file does, is none of
+    the data; the others are parsed with generated column names, unpivoted on the cluster and joined with the header
+    table. Quoted labels may hold commas; missing cells stay as NULL.
     """
-    head = [r.value.split(",") for r in spark.read.text(path).limit(header_rows).collect()]
-    width = len(head[0])
-    groups = [(f"c{j}", *[head[i][j] for i in range(header_rows)]) for j in range(1, width)]
+    text = spark.read.text(path)
+    first = text.where("_metadata.file_block_start = 0").select("value").limit(header_rows).collect()
+    header = [r.value for r in first]
+    head = list(csv.reader(header))
+    groups = [(f"c{j}", *[line[j] for line in head]) for j in range(1, len(head[0]))]
     names = [item, *[g[0] for g in groups]]
-    raw = spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).csv(path)
-    # Header lines hold factor labels in the first cell or none; a data line's cells are numbers or empty.
+    cells = F.from_csv("value", ", ".join(f"`{n}` STRING" for n in names)).alias("_row")
+    raw = text.where(~F.col("value").isin(header)).select(cells).select("_row.*")
     long = raw.unpivot([item], names[1:], "_column", "_cell")
     labels = spark.createDataFrame(groups, ["_column", *levels])
-    header_firsts = [h[0] for h in head]
-    keep = F.col(item).isNotNull() & ~F.coalesce(F.col(item), F.lit("")).isin([*header_firsts, item, ""])
+    keep = F.col(item).isNotNull() & (F.trim(item) != "")
     return long.where(keep).join(labels, "_column").select(
         *levels, item, F.expr("try_cast(_cell AS DOUBLE)").alias(value)
     )

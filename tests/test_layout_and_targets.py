@@ -165,3 +165,48 @@ def test_walks_and_embeddings(spark):
     late = graph.poincare_embedding(tree, 2, epochs=25, alpha=0.5, burn_in=2)
     assert all(sum(x * x for x in r["vec"]) < 1 for r in late.collect())
     assert graph.poincare_loss(late, tree).first()["loss"] < graph.poincare_loss(early, tree).first()["loss"]
+
+
+def test_null_ratio_counts_each_factor_for_itself(spark):
+    from rankloom.operators.profile import null_ratio_by_level
+
+    df = spark.createDataFrame([("a", "x", 1.0), ("a", None, None), (None, "x", None)], "f string, h string, v double")
+    got = {(r["factor"], r["level"]): (r["cells"], r["nulls"]) for r in null_ratio_by_level(df, ["f", "h"], "v").collect()}
+    assert got == {("f", "a"): (2, 1), ("h", "x"): (2, 1)}
+
+
+def test_pivot_refuses_unlisted_items(spark):
+    from rankloom.operators.reshape import pivot_target
+
+    df = spark.createDataFrame([("g", "a", 1), ("g", "b", 2)], "g string, item string, r int")
+    with pytest.raises(Exception, match="not among the listed items"):
+        pivot_target(df, ["g"], "item", "r", items=["a"]).collect()
+
+
+def test_restored_lists_repeat_no_row(spark):
+    from rankloom.operators.lists import restore_lists
+
+    rows = spark.createDataFrame([("g", "a"), ("g", "b"), ("g", "c")], "g string, item string")
+    drawn = spark.createDataFrame([("g", ["a", "b"], [1.0, 2.0]), ("g", ["a"], [3.0])],
+                                  "g string, items array<string>, predictions array<double>")
+    got = sorted((r["item"], r["rank_pred"]) for r in restore_lists(rows, drawn, ["g"], "item").collect())
+    assert got == [("a", 2.0), ("b", 2.0), ("c", 0.0)]
+
+
+def test_binarizer_of_a_single_rank(spark):
+    from rankloom.operators.targets import RankBinarizer
+
+    df = spark.createDataFrame([("a", 0), ("b", 0)], "k string, r int")
+    model = RankBinarizer("r").fit(df)
+    assert sorted(map(tuple, model.inverse(model.transform(df)).collect())) == [("a", 0), ("b", 0)]
+    assert df.select(F.size(model.steps())).first()[0] == 0
+
+
+def test_wide_rankings_keep_items_named_like_a_header(spark, tmp_path):
+    from rankloom.sources.readers import read_wide_rankings
+
+    text = 'dataset,1,"2"\nmodel,"m, n",m\ntuning,t,t\nscoring,s,s\nencoder,,\nmodel,1,2\nplain,,4.5\n'
+    for name in ("one", "two"):
+        (tmp_path / f"{name}.csv").write_text(text)
+    got = sorted((r["model"], r["encoder"], r["rank"]) for r in read_wide_rankings(spark, str(tmp_path)).collect() if r["rank"])
+    assert got == [("m", "model", 2.0)] * 2 + [("m", "plain", 4.5)] * 2 + [("m, n", "model", 1.0)] * 2

@@ -132,3 +132,42 @@ def test_groups_stay_together(spark):
         assert folds.groupBy("s", "g").agg(F.count_distinct("fold").alias("n")).where("n > 1").isEmpty()
         sizes = [r[1] for r in folds.select("s", "g", "fold").distinct().groupBy("fold").count().collect()]
         assert max(sizes) - min(sizes) <= 1
+
+
+@pytest.fixture(scope="module")
+def gaps(spark):
+    rows = [(None if i % 5 == 0 else "ab"[i % 2], None if i % 7 == 0 else f"i{i % 13}", None if i % 3 == 0 else float(i % 11),
+             float(i % 4)) for i in range(80)]
+    return spark.createDataFrame(rows, "g string, item string, a double, b double")
+
+
+@pytest.mark.parametrize("of", [
+    lambda df, limit: ranking.score_to_rank(df, ["g"], "a", limit=limit),
+    lambda df, limit: ranking.group_ranks(df, ["g"], "a", "r", "average", True, limit=limit),
+    lambda df, limit: ranking.spearman_by_group(df, ["g"], "a", "b", limit=limit),
+    lambda df, limit: ranking.ndcg_by_group(df, ["g"], "item", "b", "a", limit=limit),
+    lambda df, limit: lists.ordered_rows(df, ["g"], "item", "a", limit=limit),
+])
+def test_missing_keys_are_the_same_at_any_size(gaps, of):
+    plain, cut = (sorted(map(str, of(gaps, limit).collect())) for limit in (10**9, 0))
+    assert plain == cut and plain
+
+
+def test_rows_with_a_missing_group_keep_no_rank(gaps):
+    ranked = ranking.score_to_rank(gaps, ["g"], "a", limit=0).collect()
+    assert len(ranked) == 80 and all(r["rank"] is None for r in ranked if r["g"] is None)
+    assert {r["g"] for r in ranking.spearman_by_group(gaps, ["g"], "a", "b").collect()} == {"a", "b"}
+
+
+def test_top_k_of_many(spark):
+    df = spark.range(3000).selectExpr("id % 2 AS g", "id AS item", "CAST(id % 37 AS DOUBLE) AS s")
+    got = {(r["g"], r["position"]): (r["item"], r["s"]) for r in ranking.top_k_items(df, ["g"], "item", "s", 1200).collect()}
+    for g in (0, 1):
+        want = sorted(((i, float(i % 37)) for i in range(g, 3000, 2)), key=lambda x: (-x[1], x[0]))[:1200]
+        assert [got[g, p + 1] for p in range(1200)] == want
+
+
+def test_pair_names_come_back(spark):
+    for a, b in [("a__b", "c"), ("_a", "b_"), ("a%5F", "_"), ("x_y", "z")]:
+        row = spark.createDataFrame([(pairs.pair_name(a, b),)], "p string").select(*pairs.split_pair_name("p")).first()
+        assert tuple(row) == (a, b)
