@@ -88,7 +88,7 @@ def _sizes(column: pa.Array, compressors: list):
             raw = _folded(text)
             blocks = [raw[at: at + BLOCK_BYTES] for at in range(0, len(raw), BLOCK_BYTES)]
             sizes = [sum(len(c.compress(b)) for b in blocks) for c in compressors]
-            if len(raw) <= BLOCK_BYTES and sorted(sizes)[:2].count(min(sizes)) == 2:
+            if sizes and len(raw) <= BLOCK_BYTES and sorted(sizes)[:2].count(min(sizes)) == 2:
                 # Whole bytes are too coarse here: add up the sizes of the text without its first 0, 1, 2... bytes.
                 sizes = [sum(len(c.compress(raw[k:])) for k in range(SHIFTS)) for c in compressors]
             yield sizes

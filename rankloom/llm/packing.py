@@ -10,6 +10,7 @@ placing the documents one by one would give.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,6 +32,9 @@ SHORT_RUN = 8
 #: Rows of one window that numbers pieces of equal length.
 ROWS_PER_BUCKET = 1024
 
+# Fixed values of byte-level BPE: bytes 0 to 32, 127 to 160 and 173 are written as the characters from U+0100 on.
+UNPRINTED = {b: 0x100 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
+
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 PIECES_ARROW = pa.schema([
     ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
@@ -43,9 +47,13 @@ class RunIds:
 
     A text is cut into runs between which the tokenizer never joins anything: at ASCII white space, and inside words of
     plain letters and signs also between letters and signs. Words with an apostrophe or with a character beyond Latin-1
-    letters stay whole. Each distinct run is encoded once by the tokenizer and remembered; the rest is numpy.
+    letters stay whole. Each distinct run is encoded once by the tokenizer and remembered; the rest is numpy. A run of
+    letters goes straight to the tokenizer's merges, as normalising and splitting change nothing about it but the case;
+    whether they do so in the given tokenizer is tried out first.
     """
 
+    LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+
     def __init__(self, tokenizer_path: str):
         from tokenizers import Tokenizer
 
@@ -53,6 +61,16 @@ class RunIds:
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.tokenizer.encode_special_tokens = True
         self._start()
+        probe = "the unbelievably über naïve ÉÈÀ ßÿ øþ".split()
+        self.direct = [self._merged(w.lower()) for w in probe] == [
+            e.ids for e in self.tokenizer.encode_batch(probe, add_special_tokens=False)]
+
+    def _merged(self, letters: str) -> list[int]:
+        """Ids of a lower-case word: its UTF-8 bytes, as the characters that byte-level merges are written in."""
+        if not letters.isascii():
+            # Bytes of two-byte characters that have no printable Latin-1 character are written from U+0100 on.
+            letters = letters.encode().decode("latin-1").translate(UNPRINTED)
+        return [t.id for t in self.tokenizer.model.tokenize(letters)]
 
     def _start(self) -> None:
         self.rows: dict[bytes, int] = {}
@@ -85,8 +103,11 @@ class RunIds:
     def _learn(self, runs: list[bytes]) -> None:
         for at in range(0, len(runs), 5_000):  # an encoding holds far more than the ids
             some = runs[at: at + 5_000]
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(
-                [r.decode() for r in some], add_special_tokens=False)]
+            words = [r.decode() for r in some]
+            plain = [self.direct and self.LETTERS.fullmatch(r) is not None for r in some]
+            other = iter(self.tokenizer.encode_batch_fast(
+                [w for w, p in zip(words, plain) if not p], add_special_tokens=False))
+            ids = [self._merged(w.lower()) if p else next(other).ids for w, p in zip(words, plain)]
             self._store(some, np.fromiter(chain.from_iterable(ids), dtype=np.uint32),
                         np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)))
 
