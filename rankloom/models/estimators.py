@@ -50,7 +50,9 @@ def _one_vs_rest(base: Estimator) -> Estimator:
 
 
 def _tree(cls, depth=10, leaf=1, bins=64, seed=0, **other) -> Estimator:
-    depth = MAX_TREE_DEPTH if depth is None else min(int(depth), MAX_TREE_DEPTH)
+    depth = MAX_TREE_DEPTH if depth is None else int(depth)
+    if depth > MAX_TREE_DEPTH:
+        raise ValueError(f"depth {depth}: trees have at most {MAX_TREE_DEPTH} levels here; None stands for that")
     return cls(maxDepth=depth, minInstancesPerNode=int(leaf), maxBins=bins, seed=seed, maxMemoryInMB=512,
                labelCol="label", **other)
 
@@ -58,7 +60,7 @@ def _tree(cls, depth=10, leaf=1, bins=64, seed=0, **other) -> Estimator:
 SUBSETS = {None: "all", "sqrt": "sqrt", "log2": "log2"}
 
 
-def _forest(cls, trees=20, subset=None, **settings) -> Estimator:
+def _forest(cls, trees=100, subset=None, **settings) -> Estimator:
     return _tree(cls, numTrees=int(trees), featureSubsetStrategy=SUBSETS.get(subset, subset), **settings)
 
 
@@ -69,11 +71,11 @@ ESTIMATORS: dict[str, Callable[..., Estimator]] = {
     "linear": lambda **s: R.LinearRegression(labelCol="label", **s),
     "tree": lambda **s: _tree(R.DecisionTreeRegressor, **s),
     "forest": lambda **s: _forest(R.RandomForestRegressor, **s),
-    "boosting": lambda depth=5, rounds=20, **s: _tree(R.GBTRegressor, depth=depth, maxIter=rounds, **s),
+    "boosting": lambda depth=5, rounds=100, **s: _tree(R.GBTRegressor, depth=depth, maxIter=rounds, **s),
     "factorization": lambda **s: R.FMRegressor(labelCol="label", **s),
     "tree_classifier": lambda **s: _tree(C.DecisionTreeClassifier, **s),
     "forest_classifier": lambda **s: _forest(C.RandomForestClassifier, **s),
-    "boosting_classifier": lambda depth=5, rounds=20, **s: _one_vs_rest(
+    "boosting_classifier": lambda depth=5, rounds=100, **s: _one_vs_rest(
         _tree(C.GBTClassifier, depth=depth, maxIter=rounds, **s)),
     "mlp_classifier": lambda **s: MlpClassifier(**s),
     "svc_classifier": lambda iterations=50, **s: _one_vs_rest(C.LinearSVC(maxIter=iterations, **s)),

@@ -96,11 +96,24 @@ def _biased_step(at: DataFrame, steps: DataFrame, seed: int, t: int, p: float, q
         attempt += 1
 
 
+WALKS_PER_TASK = 20_000
+MAX_VECTOR_CELLS = (1 << 31) // 8
+
+
 def walk_embedding(
     edges: DataFrame, dimensions: int = 2, length: int = 20, walks: int = 1000, seed: int = 0, window: int = 5,
-    p: float = 1.0, q: float = 1.0, max_iter: int = 1, partitions: int = 1,
+    p: float = 1.0, q: float = 1.0, max_iter: int = 1,
 ) -> DataFrame:
-    """G1: skip-gram vectors ``node, vec`` of the walks; the vocabulary is the node set."""
+    """G1: skip-gram vectors ``node, vec`` of the walks; the vocabulary is the node set.
+
+    Tasks are fitted on about ``WALKS_PER_TASK`` walks each, never fewer than two. The vocabulary with its vectors is held
+    as one array, as Spark's skip-gram has it; a graph beyond that is an error here (the hyperbolic embedding has no such
+    limit).
+    """
+    nodes = nodes_of(edges).count()
+    if nodes * dimensions > MAX_VECTOR_CELLS:
+        raise ValueError(f"{nodes} nodes of {dimensions} dimensions do not fit one skip-gram vocabulary")
+    partitions = max(2, -(-nodes * walks // WALKS_PER_TASK))
     paths = random_walks(edges, length, walks, seed, p, q).select(F.col("path").cast("array<string>").alias("path"))
     model = Word2Vec(
         vectorSize=dimensions, windowSize=window, minCount=0, maxIter=max_iter, seed=seed, numPartitions=partitions,
@@ -148,13 +161,14 @@ def _distance_gradient(x: str, y: str, alpha: str, beta: str, size: int) -> list
 
 def poincare_embedding(
     edges: DataFrame, size: int = 2, epochs: int = 50, negative: int = 2, alpha: float = 0.1, seed: int = 0,
-    burn_in: int = 10,
+    burn_in: float = 0.1,
 ) -> DataFrame:
     """Hyperbolic coordinates ``node, vec`` in which connected nodes lie close.
 
     Each epoch is one batch: every edge meets ``negative`` seeded-hash samples that are not its neighbours, the softmax
     gradient of its distances is formed as columns, contributions are averaged per node (combined map-side, so a hub
-    costs no more than another node) and the step is projected back into the ball.
+    costs no more than another node) and the step is projected back into the ball. The share ``burn_in`` of the epochs
+    goes at a tenth of the rate.
     """
     edges = pin_state(edges.select("src", "dst").distinct())
     nodes = hash_positions(nodes_of(edges), [], ["node"], seed, "_pos")
@@ -166,7 +180,7 @@ def poincare_embedding(
     n_nodes = points.count()
     near = pin_state(both_directions(edges))
     for epoch in range(epochs):
-        rate = alpha / 10 if epoch < burn_in else alpha
+        rate = alpha / 10 if epoch < burn_in * epochs else alpha
         moved = _poincare_epoch(points, edges, near, n_nodes, size, negative, rate, seed, epoch)
         points = pin_state(moved, known_rows=n_nodes)
     return points.select("node", F.array(*_cols("x", size)).alias("vec"))

@@ -13,6 +13,7 @@ A row with a missing group key belongs to no group, whichever plan runs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
@@ -128,14 +129,15 @@ def hash_positions(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
 def salted(left: DataFrame, right: DataFrame, keys: Sequence[str], spread_by: str) -> tuple[DataFrame, DataFrame, str]:
     """Add a salt column so that an equi-join on ``keys`` + salt spreads the large groups of ``left``.
 
-    Rows of an ordinary group keep salt 0. A large group's left rows are dealt over ``ceil(n/limit)`` salts and its
-    right rows are repeated once per salt, so every pair still meets exactly once.
+    A group of n rows makes n * n pairs, so that is what is held against the limit. Rows of an ordinary group keep salt 0.
+    A large group's left rows are dealt over ``ceil(n * n / limit)`` salts, n at most, and its right rows are repeated once
+    per salt, so every pair still meets exactly once.
     """
     limit = hot_limit(left)
-    hot = hot_groups(left, keys, limit)
+    hot = hot_groups(left, keys, math.isqrt(limit))
     if hot.isEmpty():
         return left.withColumn("_salt", F.lit(0)), right.withColumn("_salt", F.lit(0)), "_salt"
-    ways = hot.select(*keys, F.ceil(F.col("n") / F.lit(limit)).cast("int").alias("_ways"))
+    ways = hot.select(*keys, F.least(F.col("n"), F.ceil(F.col("n") * F.col("n") / F.lit(limit))).cast("int").alias("_ways"))
     n_ways = F.coalesce(F.col("_ways"), F.lit(1))
     spread = left.join(ways, list(keys), "left").withColumn(
         "_salt", F.pmod(F.xxhash64(spread_by), n_ways).cast("int")

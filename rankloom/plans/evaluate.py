@@ -16,9 +16,11 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankloom.operators.lists import sample_lists
 from rankloom.operators.metrics import classification_metrics, regression_metrics
 from rankloom.operators.profile import best_by
-from rankloom.operators.ranking import average_spearman
+from rankloom.operators.ranking import average_spearman, ndcg_by_group
+from rankloom.operators.reshape import explode_lists
 from rankloom.operators.splits import group_kfold_keys, group_split_keys, row_split
 from rankloom.session import pin_state
 from rankloom.plans.framing import FittedSpec, fit
@@ -138,6 +140,34 @@ def holdout(spec: ModelSpec, df: DataFrame, where: Setting, frac: float = 0.75,
     )
 
 
+def holdout_lists(spec: ModelSpec, df: DataFrame, where: Setting, n: int = 15, frac: float = 0.75, seed: int = 42) -> DataFrame:
+    """Fit on sampled lists of ``n`` items of the training groups, score every item of every held-out group. The
+    result has Spearman and NDCG (the best rank is the most relevant) and how many rows were held out and scored."""
+    rows = df.select(*where.roles).persist()
+    scored = None
+    try:
+        train, test = _sides(rows, where, 0, 1, frac, "resample", seed, None)
+        drawn = sample_lists(train, where.factors, where.item, where.target, n, seed=seed).drop("list_no")
+        flat = explode_lists(drawn, ["items", "ranks"]).withColumnsRenamed({"items": where.item, "ranks": where.target})
+        test = test.where(F.col(where.target).isNotNull())
+        scored = fit(spec, flat, where).predict(test).persist()
+        top = scored.agg(F.max(where.target)).first()[0]
+        graded = scored.withColumns({"_gain": F.lit(top) - F.col(where.target), "_score": -F.col("prediction")})
+        found = {
+            "spearman": average_spearman(scored, where.factors, where.target, "prediction").first()["mean_rho"],
+            "ndcg": ndcg_by_group(graded, where.factors, where.item, "_gain", "_score").agg(F.avg("ndcg")).first()[0],
+            "held_out_rows": test.count(), "scored_rows": scored.where("prediction IS NOT NULL").count(),
+        }
+    finally:
+        if scored is not None:
+            scored.unpersist()
+        rows.unpersist()
+    return df.sparkSession.createDataFrame(
+        [(spec.name, m, None if v is None else float(v)) for m, v in found.items()],
+        "approach string, metric string, score double",
+    )
+
+
 # --- search ---------------------------------------------------------------------------------------------------------
 
 @dataclass(frozen=True)

@@ -66,7 +66,8 @@ def f4(spark, sf_dir):
 SELECT dataset, encoder, m.code AS f_model, ROUND(t.value, 6) AS f_tuning,
   {", ".join(f"CASE WHEN s.code = {i} THEN 1 ELSE 0 END AS f_scoring_{i}" for i in (1, 2, 3))}
 FROM ranked JOIN {_codes("model")} m USING (model) JOIN ({_target_sql("tuning")}) t USING (tuning)
-JOIN {_codes("scoring")} s USING (scoring)""")
+JOIN {_codes("scoring")} s USING (scoring) JOIN {_codes("dataset")} d USING (dataset)
+JOIN {_codes("encoder")} e USING (encoder)""")
 def f5(spark, sf_dir):
     rows = ranked_results(spark, sf_dir)
     stages = encoders.factor_encoders({"model": "ordinal", "tuning": "target", "scoring": "onehot"}, "rank")
@@ -122,22 +123,24 @@ def f11(spark, sf_dir):
 
 @query("f12_one_hot_baseline", f"""WITH {RESULTS_CTE}
 SELECT dataset, encoder, {", ".join(f"CASE WHEN m.code = {i} THEN 1 ELSE 0 END AS f_model_{i}" for i in range(1, 6))},
+  {", ".join(f"CASE WHEN d.code = {i} THEN 1 ELSE 0 END AS f_dataset_{i}" for i in range(1, 26))},
+  {", ".join(f"CASE WHEN e.code = {i} THEN 1 ELSE 0 END AS f_encoder_{i}" for i in range(1, 26))},
   {", ".join(f"CASE WHEN t.code = {i} THEN 1 ELSE 0 END AS f_tuning_{i}" for i in (1, 2, 3))},
   {", ".join(f"CASE WHEN s.code = {i} THEN 1 ELSE 0 END AS f_scoring_{i}" for i in (1, 2, 3))}
 FROM results JOIN {_codes("model")} m USING (model) JOIN {_codes("tuning")} t USING (tuning)
-JOIN {_codes("scoring")} s USING (scoring)""")
+JOIN {_codes("scoring")} s USING (scoring) JOIN {_codes("dataset")} d USING (dataset)
+JOIN {_codes("encoder")} e USING (encoder)""")
 def f12(spark, sf_dir):
     rows = results(spark, sf_dir).select(*KEYS)
-    stages = encoders.factor_encoders(dict.fromkeys(["model", "tuning", "scoring"], "onehot"))
+    stages = encoders.factor_encoders(dict.fromkeys(KEYS, "onehot"))
     return Pipeline(stages=stages).fit(rows).transform(rows).drop("model", "tuning", "scoring")
 
 
 @query("f14_normalised_multi_hot", """
 WITH norm AS (SELECT AVG(value) AS m, STDDEV_POP(value) AS s FROM events)
 SELECT event_id, ROUND((value - m) / s, 6) AS v0,
-  CASE WHEN event_type = (SELECT MIN(event_type) FROM events) THEN 1.0 ELSE 0.0 END::DOUBLE AS v1,
-  CASE WHEN event_type = (SELECT MAX(event_type) FROM events) THEN 1.0 ELSE 0.0 END::DOUBLE AS v5
-FROM events, norm""")
+  """ + ", ".join(f"CASE WHEN code = {i} THEN 1.0 ELSE 0.0 END::DOUBLE AS v{i}" for i in range(1, 6)) + """
+FROM (SELECT *, DENSE_RANK() OVER (ORDER BY event_type) AS code FROM events), norm""")
 def f14(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
     names = ["value", *[f"f_type_{i}" for i in range(1, 6)]]
@@ -148,7 +151,7 @@ def f14(spark, sf_dir):
     ]
     cells = vector_to_array("features")
     return Pipeline(stages=stages).fit(events).transform(events).select(
-        "event_id", F.round(cells[0], 6).alias("v0"), cells[1].alias("v1"), cells[5].alias("v5")
+        "event_id", F.round(cells[0], 6).alias("v0"), *[cells[i].alias(f"v{i}") for i in range(1, 6)]
     )
 
 

@@ -10,10 +10,8 @@ from rankloom.models.baseline import BaselineEstimator
 from rankloom.models.estimators import make_estimator
 from rankloom.models.neighbours import knn_predict, nearest_neighbours
 from rankloom.operators import graph
-from rankloom.operators.lists import sample_lists
 from rankloom.operators.metrics import classification_metrics
 from rankloom.operators.relational import lookup_vectors
-from rankloom.operators.reshape import explode_lists
 from rankloom.operators.splits import row_split
 from rankloom.plans import evaluate as ev
 from rankloom.plans import registry
@@ -57,17 +55,17 @@ def g1(spark, sf_dir):
 
 @query("g1_walk_embedding")
 def g1_embedding(spark, sf_dir):
-    return graph.walk_embedding(item_edges(spark, sf_dir), dimensions=2, length=20, walks=50)
+    return graph.walk_embedding(item_edges(spark, sf_dir), dimensions=2, length=20, walks=1000)
 
 
 @query("g2_node_clusters")
 def g2(spark, sf_dir):
-    return graph.cluster_nodes(graph.walk_embedding(item_edges(spark, sf_dir), dimensions=2, length=20, walks=50), k=6)
+    return graph.cluster_nodes(graph.walk_embedding(item_edges(spark, sf_dir), dimensions=2, length=20, walks=1000), k=6)
 
 
 @query("g3_poincare_embedding")
 def g3(spark, sf_dir):
-    return graph.poincare_embedding(item_edges(spark, sf_dir), size=2, epochs=10)
+    return graph.poincare_embedding(item_edges(spark, sf_dir), size=2, epochs=50)
 
 
 @query("g4_j9_attach_vectors", f"""WITH {RESULTS_CTE}, vec AS (
@@ -155,11 +153,8 @@ _embedding_classifier("e8_linear_svc", "svc_classifier", iterations=10)
 
 @query("e11_listwise_scorer")
 def e11(spark, sf_dir):
-    """Trained on sampled lists, scored on the held-out groups."""
-    rows = rows_of(spark, sf_dir)
-    lists = sample_lists(rows, FACTORS, ITEM, "rank", n=15, lists=1)
-    flat = explode_lists(lists.drop("list_no"), ["items", "ranks"]).withColumnsRenamed({"items": ITEM, "ranks": "rank"})
-    return ev.holdout(registry.LISTWISE_SCORER, flat, setting(spark, sf_dir))
+    """Trained on sampled lists, scored on all items of the held-out groups."""
+    return ev.holdout_lists(registry.LISTWISE_SCORER, rows_of(spark, sf_dir), setting(spark, sf_dir), n=15)
 
 
 # --- evaluation and search ------------------------------------------------------------------------------------------

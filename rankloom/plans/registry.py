@@ -12,7 +12,7 @@ def _estimator(kind: str, **settings) -> Stage:
     return Stage(ESTIMATOR, ESTIMATOR, {"kind": kind, **settings})
 
 
-def _embedding(encoder: str | None = None, size: int = 3, epochs: int = 10) -> Stage:
+def _embedding(encoder: str | None = None, size: int = 3, epochs: int = 50) -> Stage:
     return Stage("encoder_transformer", "item_embedding", {"size": size, "epochs": epochs, "encoder": encoder})
 
 
@@ -35,7 +35,8 @@ REGRESSION = (_embedding("onehot"), _side(), TARGET_MIX)
 ONE_HOT = (_embedding("onehot"), _side(), ALL_ONE_HOT)
 
 # The published search ranges.
-DEPTHS = Choice((1, 10, 50, 100, 250, 500, None))
+# Depths from 50 on all mean Spark's largest here, so that they are one value, None.
+DEPTHS = Choice((1, 10, None))
 LEAVES = Integer(1, 5)
 SUBSETS = Choice((None, "sqrt", "log2"))
 SIDE_SPACE = {

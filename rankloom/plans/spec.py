@@ -64,7 +64,7 @@ class Stage:
             if not item_in_rows:
                 return []
             size = s.get("size", 2)
-            vectors = where.item_vectors(size, s.get("epochs", 10), s.get("negative", 2), s.get("alpha", 0.1))
+            vectors = where.item_vectors(size, s.get("epochs", 50), s.get("negative", 2), s.get("alpha", 0.1))
             attach = graph.AttachEmbedding.of(vectors, where.item, size, f"{FEATURE_PREFIX}item_dim")
             return [attach, *make_encoder(s.get("encoder"), where.item, f"{FEATURE_PREFIX}item", label)]
         if self.kind == "side_table":

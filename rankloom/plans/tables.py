@@ -29,11 +29,9 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    joined = (
-        line.join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    )
+    # Orders meet their customers first: the largest table is dealt once for its parts and once for its orders.
+    buyers = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    joined = line.join(part, F.col("l_partkey") == F.col("p_partkey")).join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.groupBy(
         F.col("c_nationkey").alias("dataset"),
         F.col("c_mktsegment").alias("model"),

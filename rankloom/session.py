@@ -6,9 +6,10 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# A fitted state table up to this many rows is kept as literal rows, so that Catalyst knows its size and may
+# A fitted state table up to this many rows and bytes is kept as literal rows, so that Catalyst knows its size and may
 # broadcast it; anything larger is written to the reliable checkpoint folder and joined by shuffle.
 SMALL_STATE_ROWS = 20_000
+SMALL_STATE_BYTES = 8 << 20
 
 
 def local_session(app: str = "rankloom", cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -56,6 +57,6 @@ def pin_state(df: DataFrame, small_rows: int = SMALL_STATE_ROWS, known_rows: int
     if known_rows is not None and known_rows > small_rows:
         return durable(df)
     head = (df if known_rows is not None else df.limit(small_rows + 1)).toArrow()
-    if head.num_rows <= small_rows:
+    if head.num_rows <= small_rows and head.nbytes <= SMALL_STATE_BYTES:
         return df.sparkSession.createDataFrame(head, df.schema)  # Arrow data becomes a LocalRelation
     return durable(df)

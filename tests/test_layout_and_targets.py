@@ -162,7 +162,7 @@ def test_walks_and_embeddings(spark):
     biased = graph.random_walks(tree, 4, 1, seed=3, p=4.0, q=0.5).collect()
     assert len(biased) == 8 and all(pair in edges for r in biased for pair in zip(r["path"], r["path"][1:]))
     early = graph.poincare_embedding(tree, 2, epochs=1)
-    late = graph.poincare_embedding(tree, 2, epochs=25, alpha=0.5, burn_in=2)
+    late = graph.poincare_embedding(tree, 2, epochs=25, alpha=0.5, burn_in=0.08)
     assert all(sum(x * x for x in r["vec"]) < 1 for r in late.collect())
     assert graph.poincare_loss(late, tree).first()["loss"] < graph.poincare_loss(early, tree).first()["loss"]
 

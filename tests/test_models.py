@@ -80,8 +80,37 @@ def test_inferred_space():
     space = ev.infer_space({"i": [1, 5], "f": [0.1, 0.9], "c": [None, "x", "y"]})
     assert space == {"i": ev.Integer(1, 5), "f": ev.Real(0.1, 0.9), "c": ev.Choice((None, "x", "y"))}
     assert ev.trial_settings(space, "random", 3, 7) == ev.trial_settings(space, "random", 3, 7)
+    assert ev.infer_space({"many": [1, 5, 50], "wide": (1, 2.5)}) == {"many": ev.Choice((1, 5, 50)), "wide": ev.Real(1.0, 2.5)}
+    for wrong in ([None], [1, "x"], [5, 1]):
+        with pytest.raises(ValueError):
+            ev.infer_space({"n": wrong})
+
+
+def test_holdout_of_rows_without_factors(spark):
+    from rankloom.plans.spec import Setting
+
+    rows = spark.range(200).selectExpr("id AS row_id", "CAST(id % 7 AS STRING) AS item", "CAST(id % 7 AS DOUBLE) AS y")
+    scores = ev.holdout(registry.create("regre_baseline"), rows, Setting([], "item", "y"), row_id="row_id").collect()
+    assert scores and all(r["score"] is not None for r in scores)
+    with pytest.raises(ValueError):
+        ev.holdout(registry.create("regre_baseline"), rows, Setting([], "item", "y"))
+
+
+def test_list_scorer_scores_every_held_out_row(where):
+    rows, setting = where
+    found = {r["metric"]: r["score"] for r in ev.holdout_lists(registry.LISTWISE_SCORER, rows, setting, n=3).collect()}
+    assert found["scored_rows"] == found["held_out_rows"] > 0 and found["ndcg"] is not None
+
+
+def test_evaluate_follows_the_strategy(where):
+    rows, setting = where
+    spec = registry.create("listwise_multidimensional_regression_no_search")
+    assert ev.evaluate(spec, rows, setting, "cross_validation", folds=2).count() == 2
+    space = {"estimator__depth": ev.Choice((1, 4))}
+    assert ev.evaluate(spec, rows, setting, "grid_search", space=space, folds=2, final_folds=2).count() == 2
+    assert ev.evaluate(spec, rows, setting, "basic").count() >= 1
     with pytest.raises(ValueError):
-        ev.infer_space({"n": [None]})
+        ev.evaluate(spec, rows, setting, "unknown")
 
 
 def test_saved_model_predicts_the_same(spark, where, tmp_path):
