@@ -1,5 +1,6 @@
 """Language identification by compression: a text is compressed with a raw-content zstandard dictionary of each language,
-and the language whose dictionary leaves the fewest bytes is chosen. Letter case doesn't count."""
+and the language whose dictionary leaves the fewest bytes is chosen. Only letters count,
+whatever their case."""
 
 from __future__ import annotations
 
@@ -29,6 +30,7 @@ SHIFTS = 8
 MARGIN = 0.002
 
 _LETTER = re.compile(r"[^\W\d_]")
+_LETTERS = re.compile(r"[^\W\d_]+")
 
 
 @dataclass(frozen=True)
@@ -77,7 +79,7 @@ def learn(docs: DataFrame, training: Column) -> Dictionaries:
 
 
 def _folded(text: str) -> bytes:
-    return text.lower().encode()
+    return " ".join(_LETTERS.findall(text.lower())).encode()
 
 
 def _sizes(column: pa.Array, compressors: list):
