@@ -98,7 +98,8 @@ def _sizes(column: pa.Array, compressors: list):
 
 def verdict(text: Column, known: Dictionaries, margin: float = MARGIN) -> Column:
     """``struct<lang, score, rejected>`` of a text. ``lang`` is the smallest size's language (ties: the more frequent
-    one in training, then by name), ``und`` for a null text, one without a letter, and when nothing was learned; ``score`` grows from 0.5 with the margin
+    one in training, then by name), ``und`` for a null text, one without a letter, and when nothing was learned; ``score``
+    grows from 0.5 with the margin
     to the runner-up (0 for ``und``, 1 when one language is known); ``rejected`` when it is ``und`` or the margin is below
     ``margin`` of the runner-up's size."""
     result = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])

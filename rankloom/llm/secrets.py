@@ -202,10 +202,10 @@ def redacted(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, mark: str =
     def step(state: Column, x: Column) -> Column:
         fresh = x["start"] >= state["at"]
         # In code points; substring counts from 1.
+        between = text.substr(state["at"].cast("int") + 1, (x["start"] - state["at"]).cast("int"))
         return F.struct(
             F.greatest(state["at"], x["end"]).alias("at"),
-            F.when(fresh, F.concat(state["out"], text.substr(state["at"].cast("int") + 1, (x["start"] - state["at"]).cast("int")), F.lit(mark)))
-            .otherwise(state["out"]).alias("out"))
+            F.when(fresh, F.concat(state["out"], between, F.lit(mark))).otherwise(state["out"]).alias("out"))
 
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
     folded = F.aggregate(F.col("secret_spans"), start, step)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from rankloom.llm.common import compact, written
-from rankloom.llm.words import LOWER, UNSPACED, words_of
+from rankloom.llm.words import UNSPACED, words_of
 
 #: Fingerprints in a leaf of the tree.
 LEAF = 16
@@ -252,7 +252,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, limit: int = 2) -> DataFr
     least = _least(printed, F.col("doc_id"), limit)
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     # One row per fingerprint on the right side: a hot fingerprint can be split on the left.
-    return compact(printed.join(least, "fp", "left"), printed.count()).select("doc_id", hexed.alias("fingerprint"), F.col("least").alias("component_id"))
+    rows = compact(printed.join(least, "fp", "left"), printed.count())
+    return rows.select("doc_id", hexed.alias("fingerprint"), F.col("least").alias("component_id"))
 
 
 def _least(printed: DataFrame, what: Column, limit: int) -> DataFrame:
