@@ -34,7 +34,8 @@ def group_ranks(
     """Add the 0-based ``dense`` or ``min`` rank, or the 1-based ``average`` rank, of ``value`` in its group.
 
     NULL gets a NULL rank, and so does a row with a missing factor, which belongs to no group. Groups above ``limit`` rows
-    (default: the configured one) are not sorted in one task. ``bounded=True`` states that the rows of a group are few by construction (for instance one
+    (default: the configured one) are not sorted in one task. ``bounded=True`` states that the rows of a group
+    are few by construction (for instance one
     row per item after an aggregate) and keeps the single-exchange window without sizing the groups first.
     """
     if kind not in RANK_KINDS:
@@ -102,7 +103,8 @@ def spearman_by_group(
 ) -> DataFrame:
     """Tie-aware Spearman correlation of two columns per group.
 
-    Rows where either side is NULL are left out, rows with a missing factor belong to no group. ``rho`` is NULL for a group with a constant side or no usable row.
+    Rows where either side is NULL are left out, rows with a missing factor belong to no group.
+    ``rho`` is NULL for a group with a constant side or no usable row.
     """
     factors = list(factors)
     both = F.col(a).isNotNull() & F.col(b).isNotNull()
@@ -149,7 +151,8 @@ def ndcg_by_group(
     """NDCG of the order by descending ``score``; larger relevance is more relevant, ties by seeded item hash. Rows
     without relevance or score are left out, rows with a missing factor belong to no group."""
     factors = list(factors)
-    rows = not_null_keys(df, factors).where(F.col(relevance).isNotNull() & F.col(score).isNotNull()).select(*factors, item, relevance, score)
+    known = F.col(relevance).isNotNull() & F.col(score).isNotNull()
+    rows = not_null_keys(df, factors).where(known).select(*factors, item, relevance, score)
     if bounded or not has_hot_group(rows, factors, limit):
         tie = [md5_order(seed, [item]), F.col(item)]
         placed = rows.withColumns(
