@@ -182,7 +182,11 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10, remove
     length = names.index("n_chars") if "n_chars" in names and isinstance(
         docs.schema["n_chars"].dataType, (T.LongType, T.IntegerType)) else None
 
-    def clean(hash_set):
+    # Spans of all slices are collected on the whole text and cut once: a cut text has other windows.
+    hits = T.StructField("hits", T.ArrayType(T.StructType([T.StructField(c, T.LongType()) for c in ("first", "end")])))
+    with_hits = T.StructType([*inner.schema.fields, hits])
+
+    def clean(hash_set, last):
         def run(batches):
             known = hash_set.value
             for batch in batches:
@@ -191,20 +195,30 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10, remove
                     rows = words.last - words.first
                     part = batch.slice(words.first, rows)
                     spans = defaultdict(list)
+                    if len(part.schema.names) > len(names):
+                        for text, found in enumerate(part.column(len(names)).to_pylist()):
+                            if found:
+                                spans[text] = [(x["first"], x["end"]) for x in found]
+                        part = part.select(part.schema.names[:-1])
                     for text, first, end, _ in known.hits(words):
                         spans[text].append((first, end))
                     if remove == "documents":
                         keep = np.ones(rows, dtype=bool)
                         keep[list(spans)] = False
                         yield part.filter(pa.array(keep))
+                    elif not last:
+                        found = [[{"first": a, "end": b} for a, b in _merged(spans.get(k, []))] for k in range(rows)]
+                        yield pa.RecordBatch.from_arrays(
+                            [*part.columns, pa.array(found, _FOUND)], names=[*part.schema.names, "hits"])
                     elif spans:
                         yield _cut_out(part, words, spans, at, length)
                     else:
                         yield part
         return run
 
+    plain = inner.schema
     for hash_set, last in _slices(benchmark, size):
-        inner = inner.mapInArrow(clean(hash_set), inner.schema)
+        inner = inner.mapInArrow(clean(hash_set, last), plain if last or remove == "documents" else with_hits)
         if not last:
             inner = written(inner, "cleaned")
     return inner.toDF(*names)
