@@ -39,7 +39,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents become pieces with their place in a sequence of at most 2,048 tokens."""
-    return packing.pack(docs, word_tokenizer(), CAPACITY)
+    return packing.pack(docs, word_tokenizer(), CAPACITY, added=True)
 
 
 STAGES = [

@@ -18,6 +18,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -50,16 +51,20 @@ class RunIds:
     letters stay whole. Each distinct run is encoded once by the tokenizer and remembered; the rest is numpy. A run of
     letters goes straight to the tokenizer's merges, as normalising and splitting change nothing about it but the case;
     whether they do so in the given tokenizer is tried out first.
+
+    With ``added``, the tokenizer's added tokens, such as ``<|endoftext|>``, are recognised in texts as the tokenizer does
+    when it is loaded; a text that may hold one goes to it whole. Without, they are letters and signs like any others.
     """
 
     LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
-    def __init__(self, tokenizer_path: str):
+    def __init__(self, tokenizer_path: str, added: bool = False):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
         self._start()
         probe = "the unbelievably über naïve ÉÈÀ ßÿ øþ".split()
         self.direct = [self._merged(w.lower()) for w in probe] == [
@@ -113,6 +118,19 @@ class RunIds:
 
     def of(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text."""
+        whole = np.zeros(len(column), dtype=bool)
+        for token in self.added:
+            whole |= pc.fill_null(pc.match_substring(column, token, ignore_case=True), False).to_numpy(zero_copy_only=False)
+        if not whole.any():
+            yield from self._of_runs(column)
+            return
+        rest = self._of_runs(pc.if_else(pa.array(whole), pa.scalar("", column.type), column))
+        for text, (ids, alone) in enumerate(zip(rest, whole)):
+            if alone:
+                ids = np.array(self.tokenizer.encode(column[text].as_py(), add_special_tokens=False).ids, dtype=np.uint32)
+            yield ids
+
+    def _of_runs(self, column: pa.Array) -> Iterator[np.ndarray]:
         for runs in words_of(column, UNSPACED, lower=True, cut=_letters_from_signs):
             _, first, which = np.unique(runs.hashes(), return_index=True, return_inverse=True)
             raw = runs.data.tobytes()
@@ -142,20 +160,22 @@ def _letters_from_signs(data: np.ndarray, word: np.ndarray) -> np.ndarray:
     return begins & ~whole[word]
 
 
-_known: dict[str, RunIds] = {}
+_known: dict[tuple[str, bool], RunIds] = {}
 
 
-def _run_ids(path: str) -> RunIds:
-    if path not in _known:
-        _known[path] = RunIds(path)
-    return _known[path]
+def _run_ids(path: str, added: bool) -> RunIds:
+    if (path, added) not in _known:
+        _known[path, added] = RunIds(path, added)
+    return _known[path, added]
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int = 0) -> DataFrame:
+def token_pieces(
+    docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int = 0, added: bool = False
+) -> DataFrame:
     """One row per piece of each document: its ids and ``end_id``, cut into pieces of ``capacity`` where longer."""
 
     def cut(batches):
-        run_ids = _run_ids(tokenizer_path)
+        run_ids = _run_ids(tokenizer_path, added)
         end = np.asarray([end_id], dtype="<u4").tobytes()
         width = 4 * capacity
         for batch in batches:
@@ -295,14 +315,14 @@ def placed(pieces: DataFrame, runs: list[Run]) -> DataFrame:
         place, PIECES + ", sequence_id bigint, offset bigint")
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048) -> DataFrame:
-    """Pack all documents (``doc_id``, ``text``) into sequences of at most ``capacity`` tokens.
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, added: bool = False) -> DataFrame:
+    """Pack all documents (``doc_id``, ``text``) into sequences of at most ``capacity`` tokens; ``added`` as in ``RunIds``.
 
     A null or empty text is a document of one end token. Null and repeated ids are packed like any others, repeated rows
     as often as they come, and only ``doc_id`` and ``text`` are read, so other columns may have any name. An empty table
     gives an empty result.
     """
-    pieces = written(token_pieces(docs, tokenizer_path, capacity), "pieces")
+    pieces = written(token_pieces(docs, tokenizer_path, capacity, added=added), "pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     runs = best_fit_decreasing(histogram, capacity)
     rows = sum(histogram.values())

@@ -32,7 +32,7 @@ def word_tokenizer() -> str:
 
 @query("op1_best_fit_packing")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(load(spark, sf_dir, "documents"), word_tokenizer(), 2048)
+    return packing.pack(load(spark, sf_dir, "documents"), word_tokenizer(), 2048, added=True)
 
 
 @query("op2_ftrl_toxicity")

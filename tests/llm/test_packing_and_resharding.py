@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankloom.llm.packing import RunIds, best_fit_decreasing, pack
-from rankloom.llm.queries import word_tokenizer
+from rankloom.llm.queries import QUERIES, word_tokenizer
 from rankloom.llm.resharding import equal_capacities, min_cost_flow, reshard, rewrite_affected
 
 ODD = [
@@ -65,6 +65,26 @@ def test_ids_are_the_tokenizers():
     assert got == [ids_of(t) for t in ODD]
 
 
+MARKED = ["ab <|endoftext|> cd", "ab<|EndOfText|>cd", "<|startoftext|>", "x <|endoftext|", "<|endoftext|><|endoftext|> it's", "a b", None, ""]
+
+
+def test_added_tokens_are_the_unmodified_tokenizers(spark, tmp_path):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(word_tokenizer())
+    texts = ODD + MARKED
+    want = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in RunIds(word_tokenizer(), added=True).of(pa.array(texts, pa.string()))] == want
+    assert want[len(ODD)] == [3937, 49407, 4480] != ids_of(MARKED[0])
+    rows = [(i, t) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["ids_crc32"] for r in QUERIES["op1_best_fit_packing"](spark, str(tmp_path)).collect()
+           if r["length"] <= 2048 and r["piece"] == 0}
+    crc = {i: zlib.crc32(np.array([*ids, 0], "<u4").tobytes()) for i, ids in enumerate(want) if len(ids) < 2048}
+    assert {k: got[k] for k in crc} == crc
+
+
 def test_pack(spark):
     rows = [(i, t) for i, t in enumerate(ODD)] + [(None, "a b"), (3, "again"), (3, "again")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("length", F.lit("x")).withColumn("piece", F.lit(1))
