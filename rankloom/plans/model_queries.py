@@ -127,7 +127,7 @@ def e6_regression(spark, sf_dir):
     return out.withColumn("prediction", F.round("prediction", 6))
 
 
-def _embedding_classifier(name: str, kind: str, **settings):
+def _embedding_classifier(name: str, kind: str):
     @query(name)
     def plan(spark, sf_dir):
         points = table(spark, sf_dir, "embeddings").select(
@@ -136,7 +136,7 @@ def _embedding_classifier(name: str, kind: str, **settings):
         )
         split = row_split(points, "vec_id").persist()
         try:
-            model = make_estimator(kind, **settings).fit(split.where("is_train"))
+            model = make_estimator(kind).fit(split.where("is_train"))
         finally:
             split.unpersist()
         return classification_metrics(model.transform(split.where(~F.col("is_train"))), "label", "prediction")
@@ -144,11 +144,11 @@ def _embedding_classifier(name: str, kind: str, **settings):
     return plan
 
 
-_embedding_classifier("e3_tree_classifier", "tree_classifier", depth=8)
-_embedding_classifier("e4_forest_classifier", "forest_classifier", depth=8, trees=10)
-_embedding_classifier("e5_boosting_classifier", "boosting_classifier", depth=3, rounds=3)
-_embedding_classifier("e7_perceptron_classifier", "mlp_classifier", hidden=[32], maxIter=30)
-_embedding_classifier("e8_linear_svc", "svc_classifier", iterations=10)
+_embedding_classifier("e3_tree_classifier", "tree_classifier")
+_embedding_classifier("e4_forest_classifier", "forest_classifier")
+_embedding_classifier("e5_boosting_classifier", "boosting_classifier")
+_embedding_classifier("e7_perceptron_classifier", "mlp_classifier")
+_embedding_classifier("e8_linear_svc", "svc_classifier")
 
 
 @query("e11_listwise_scorer")
@@ -205,8 +205,7 @@ def v9(spark, sf_dir):
     return ev.best_trial(trials)
 
 
-# The registered runs keep two folds and trees of moderate size; the specifications carry the full search ranges.
-MODERATE = {"estimator__depth": ev.Choice((5, 10))}
+# The registered runs keep two folds.
 CROSS_VALIDATED = {
     "regre_baseline": "m6_regre_baseline", "class_baseline": "m6_class_baseline",
     "linear_regression": "e2_linear_regression", "regre_preprocessed": "e5_regre_preprocessed",
@@ -237,10 +236,8 @@ def _searched(spec_name: str, name: str):
     @query(name)
     def plan(spark, sf_dir):
         spec = registry.create(spec_name)
-        space = {**spec.space, **{k: v for k, v in MODERATE.items() if k in spec.space}}
-        space = {k: v for k, v in space.items() if k not in ("estimator__trees", "estimator__subset")}
         mode = "grid" if spec.strategy == "grid_search" else "random"
-        trials, _ = ev.search(spec, rows_of(spark, sf_dir), setting(spark, sf_dir), space, mode, trials=2, folds=2)
+        trials, _ = ev.search(spec, rows_of(spark, sf_dir), setting(spark, sf_dir), mode=mode, trials=2, folds=2)
         return trials
 
     return plan

@@ -159,3 +159,39 @@ def test_command_line(spark, where, tmp_path):
     assert cli.report(scores).first()["mean"] > 0.8
     predicted = spark.read.schema("row_id long, prediction double").csv(str(tmp_path / "out" / "predictions"))
     assert predicted.where("prediction IS NOT NULL").count() == rows.count()
+
+
+class _Seen(Exception):
+    pass
+
+
+@pytest.mark.parametrize("name", [
+    "e3_tree_classifier", "e4_forest_classifier", "e5_boosting_classifier", "e7_perceptron_classifier", "e8_linear_svc"])
+def test_registered_estimators_have_their_defaults(spark, monkeypatch, name):
+    from rankloom.plans import catalog, model_queries
+
+    def seen(kind, **settings):
+        raise _Seen(settings)
+
+    monkeypatch.setattr(model_queries, "make_estimator", seen)
+    with pytest.raises(_Seen) as found:
+        catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert found.value.args == ({},)
+
+
+@pytest.mark.parametrize("name", [
+    "regre_bayes_search", "pointwise_classification_bayes_search", "pointwise_ordinal_regression_bayes_search",
+    "pointwise_normalized_regression_bayes_search", "listwise_dimensionwise_regression_bayes_search",
+    "pointwise_regression_grid_search"])
+def test_registered_searches_have_the_whole_space(monkeypatch, name):
+    from rankloom.plans import catalog, model_queries
+
+    def seen(spec, df, where, space=None, *args, **options):
+        raise _Seen(space or spec.space)
+
+    for other in ("rows_of", "setting"):
+        monkeypatch.setattr(model_queries, other, lambda *a: None)
+    monkeypatch.setattr(model_queries.ev, "search", seen)
+    with pytest.raises(_Seen) as found:
+        catalog.QUERIES[f"v8_{name}"](None, "")
+    assert found.value.args == (registry.create(name).space,)
