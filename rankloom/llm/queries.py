@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import decontaminate, host_rules, langid, packing, quality, resharding, secrets, simhash, style_tree, toxicity
+from rankloom.llm import (
+    centroids, decontaminate, host_rules, langid, lattice, packing, quality, resharding, secrets, simhash, style_tree, toxicity, treap,
+)
 from rankloom.llm.common import fold, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,6 +200,98 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return style_tree.extract(load(spark, sf_dir, "pages"))
 
 
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS t
+  FROM documents),
+g AS (SELECT count(*) AS docs, CAST(sum(len(t)) AS BIGINT) AS total FROM d WHERE len(t) > 0),
+q AS (
+  SELECT DISTINCT r AS i, item_id, unnest(t) AS term
+  FROM (SELECT row_number() OVER () AS r, item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS t FROM benchmark)),
+tf AS (
+  SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(t) AS n, unnest(t) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY r, doc_id, n, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), g),
+s AS (
+  SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))) AS impact
+  FROM tf JOIN w USING (term), g),
+found AS (
+  SELECT i, item_id, r, doc_id, CAST(sum(impact) AS BIGINT) AS score
+  FROM s JOIN q USING (term) GROUP BY i, item_id, r, doc_id HAVING sum(impact) > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM found) WHERE rank <= 10
+"""
+
+
+@query("op11_k2_treap_search", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return treap.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), 10)
+
+
+OP12_SQL = """
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+good AS MATERIALIZED (
+  SELECT *, sqrt(list_dot_product(e, e)) AS norm FROM v
+  WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_dot_product(e, e) > 0),
+l AS MATERIALIZED (
+  SELECT a.r AS a, b.r AS b FROM good a JOIN good b ON a.label = b.label AND len(a.e) = len(b.e) AND a.r <> b.r
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.98),
+reach(a, root) AS (
+  SELECT r, vec_id FROM v
+  UNION
+  SELECT l.b, reach.root FROM reach JOIN l ON l.a = reach.a),
+least AS (SELECT a AS r, min(root) AS component_id FROM reach GROUP BY a),
+degree AS (SELECT a AS r, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN least USING (r) LEFT JOIN degree USING (r)
+"""
+
+
+@query("op12_lattice_near_dedup", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(load(spark, sf_dir, "embeddings"), 0.98)
+
+
+def _op13_sql(rounds: int = 3) -> str:
+    parts = ["""
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT r, i, v[i] AS x FROM (SELECT r, v, unnest(range(1, 65)) AS i FROM kept)),
+c0 AS MATERIALIZED (
+  SELECT k, i, v[i] AS x FROM (
+    SELECT k, v, unnest(range(1, 65)) AS i
+    FROM (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS k, v FROM kept) WHERE k < 16))"""]
+    for n in range(rounds + 1):
+        parts.append(f"""
+a{n} AS MATERIALIZED (
+  SELECT r, k, d FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY d, k) AS nth FROM (
+    SELECT r, k, CAST(sum((p.x - c.x) * (p.x - c.x)) AS BIGINT) AS d FROM p JOIN c{n} c USING (i) GROUP BY r, k)) WHERE nth = 1)""")
+        if n < rounds:
+            parts.append(f"""
+c{n + 1} AS MATERIALIZED (
+  SELECT k, i, coalesce((s - (s % m + m) % m) // m, x) AS x FROM c{n} LEFT JOIN (
+    SELECT k, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS m FROM a{n} JOIN p USING (r) GROUP BY k, i) USING (k, i))""")
+    return ",".join(parts) + f"""
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, h AS centroid_sha256
+FROM a{rounds} JOIN kept USING (r) JOIN (
+  SELECT k, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS h FROM c{rounds} GROUP BY k) USING (k)"""
+
+
+@query("op13_equal_variance_clustering", _op13_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(load(spark, sf_dir, "embeddings"), k=16, rounds=3, size=64, scale=64)
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
