@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target, keyword_only
-from pyspark.ml import Estimator, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml import classification as C
 from pyspark.ml import regression as R
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -15,6 +15,9 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import functions as F
 
 from rankloom.models.baseline import BaselineEstimator
+from rankloom.models.boosting import AdaBoostClassifier, SoftmaxBooster
+from rankloom.models.multi_tree import MultiOutputTree
+from rankloom.models.networks import MlpRegressor, RandomFourierFeatures, SupportVectorRegressor
 
 MAX_TREE_DEPTH = 30  # Spark's own limit; an unbounded depth means this one
 
@@ -64,21 +67,52 @@ def _forest(cls, trees=100, subset=None, **settings) -> Estimator:
     return _tree(cls, numTrees=int(trees), featureSubsetStrategy=SUBSETS.get(subset, subset), **settings)
 
 
+def _one_tree(cls, forest, subset=None, **settings) -> Estimator:
+    """One tree; with a subset of the features for each node it is a forest of one on all rows."""
+    return _tree(cls, **settings) if subset is None else _forest(forest, 1, subset, bootstrap=False, **settings)
+
+
+def _multi_tree(depth=None, leaf=1, split=2, subset=None, **settings) -> Estimator:
+    return MultiOutputTree(depth=int(depth or 0), leaf=int(leaf), split=int(split), subset=SUBSETS.get(subset, subset), **settings)
+
+
+def _kernel(last: Estimator, components=512, gamma=None, seed=0) -> Estimator:
+    """A linear model on random Fourier features, which stand for a radial kernel."""
+    return Pipeline(stages=[RandomFourierFeatures(components=components, gamma=gamma, seed=seed), last])
+
+
+def _fourier_svc(iterations=50, penalty=1e-4, **kernel) -> Estimator:
+    base = C.LinearSVC(maxIter=iterations, regParam=penalty)
+    return _kernel(C.OneVsRest(classifier=base, labelCol="label", featuresCol="fourier", predictionCol="prediction", parallelism=4),
+                   **kernel)
+
+
+def _fourier_svr(epsilon=0.1, cost=1.0, maxIter=100, **kernel) -> Estimator:
+    return _kernel(SupportVectorRegressor(featuresCol="fourier", epsilon=epsilon, cost=cost, maxIter=maxIter), **kernel)
+
+
 ESTIMATORS: dict[str, Callable[..., Estimator]] = {
     "mean": lambda strategy="mean", **s: BaselineEstimator(strategy=strategy, **s),
     "median": lambda strategy="median", **s: BaselineEstimator(strategy=strategy, **s),
     "most_frequent": lambda strategy="most_frequent", **s: BaselineEstimator(strategy=strategy, **s),
     "linear": lambda **s: R.LinearRegression(labelCol="label", **s),
-    "tree": lambda **s: _tree(R.DecisionTreeRegressor, **s),
+    "tree": lambda **s: _one_tree(R.DecisionTreeRegressor, R.RandomForestRegressor, **s),
+    "multi_tree": _multi_tree,
     "forest": lambda **s: _forest(R.RandomForestRegressor, **s),
     "boosting": lambda depth=5, rounds=100, **s: _tree(R.GBTRegressor, depth=depth, maxIter=rounds, **s),
     "factorization": lambda **s: R.FMRegressor(labelCol="label", **s),
-    "tree_classifier": lambda **s: _tree(C.DecisionTreeClassifier, **s),
-    "forest_classifier": lambda **s: _forest(C.RandomForestClassifier, **s),
-    "boosting_classifier": lambda depth=5, rounds=100, **s: _one_vs_rest(
+    "mlp": lambda **s: MlpRegressor(**s),
+    "svr": lambda **s: SupportVectorRegressor(**s),
+    "kernel_svr": _fourier_svr,
+    "tree_classifier": lambda **s: _one_tree(C.DecisionTreeClassifier, C.RandomForestClassifier, **s),
+    "forest_classifier": lambda subset="sqrt", **s: _forest(C.RandomForestClassifier, subset=subset, **s),
+    "boosting_classifier": lambda depth=5, rounds=100, **s: SoftmaxBooster(depth=depth, rounds=rounds, **s),
+    "boosting_one_vs_rest": lambda depth=5, rounds=100, **s: _one_vs_rest(
         _tree(C.GBTClassifier, depth=depth, maxIter=rounds, **s)),
+    "adaboost_classifier": lambda **s: AdaBoostClassifier(**s),
     "mlp_classifier": lambda **s: MlpClassifier(**s),
     "svc_classifier": lambda iterations=50, **s: _one_vs_rest(C.LinearSVC(maxIter=iterations, **s)),
+    "kernel_svc_classifier": _fourier_svc,
 }
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -212,7 +213,90 @@ class SmoothedTargetEncoderModel(TableModel, _Encoder):
         return out.withColumn(self.getOutputCol(), encoded).drop("_state_value")
 
 
+def random_intercepts(
+    n: np.ndarray, levels: np.ndarray, means: np.ndarray, squares: np.ndarray, within: float, iterations: int = 2000,
+    tolerance: float = 1e-10,
+) -> tuple[float, float, float]:
+    """Mean, variance between levels and variance inside them of ``y = mean + level + error``, by expectation maximisation.
+
+    Levels with equally many rows share all that the steps need, so the input is one entry for each number of rows ``n``: how
+    many ``levels`` have it, the sum of their ``means`` and of its ``squares``; ``within`` is the sum of squared deviations from
+    the levels' means.
+    """
+    rows, count = float((n * levels).sum()), float(levels.sum())
+    mean = float((n * means).sum() / rows)
+    between = max(float((squares - 2 * mean * means + mean * mean * levels).sum() / count), 1e-12)
+    error = max(within / rows, 1e-12)
+    for _ in range(iterations):
+        share = n * between / (n * between + error)
+        off = squares - 2 * mean * means + mean * mean * levels
+        spread = between * error / (n * between + error)
+        new_between = float((share ** 2 * off + levels * spread).sum() / count)
+        new_error = float((within + (n * ((1 - share) ** 2 * off + levels * spread)).sum()) / rows)
+        new_mean = float((n * (means - share * (means - levels * mean))).sum() / rows)
+        moved = max(abs(new_between - between) / max(between, 1e-12), abs(new_error - error) / max(error, 1e-12),
+                    abs(new_mean - mean) / max(abs(mean), 1.0))
+        mean, between, error = new_mean, max(new_between, 0.0), max(new_error, 1e-300)
+        if moved < tolerance:
+            break
+    return mean, between, error
+
+
+class MixedModelEncoder(_EncoderEstimator):
+    """The level's random intercept in a linear mixed model of the target: its mean's deviation, shrunk by how much of the spread
+    of level means is error. Unseen and null levels have none: 0.
+
+    Rows are read once, into counts and sums of the levels; levels of equally many rows are added up before they reach the
+    driver, so that it sees one row for each size that occurs.
+    """
+
+    needs_target = True
+
+    @keyword_only
+    def __init__(self, *, inputCol=None, outputCol=None, labelCol="label", handleInvalid="keep"):
+        super().__init__()
+        self._defaults()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset):
+        col, label = self.getInputCol(), self.getLabelCol()
+        if label not in dataset.columns:
+            raise ValueError(f"the mixed model of {col} needs the single target column {label!r}")
+        y = F.col(label).cast("double")
+        stats = pin_state(dataset.where(y.isNotNull() & F.col(col).isNotNull()).groupBy(col).agg(
+            F.count(F.lit(1)).alias("n"), F.avg(y).alias("m"), F.var_pop(y).alias("v")))
+        sizes = stats.groupBy("n").agg(
+            F.count(F.lit(1)).alias("levels"), F.sum("m").alias("means"), F.sum(F.col("m") * F.col("m")).alias("squares"),
+            F.sum(F.col("n") * F.col("v")).alias("within")).orderBy("n").collect()
+        if not sizes:
+            raise ValueError(f"the mixed model of {col} needs at least one row with a {label!r}")
+        n, levels, means, squares, within = (np.array(c, dtype=float) for c in zip(*sizes))
+        # Deviations from the first mean, so that squares do not swamp them.
+        origin = float(means.sum() / levels.sum())
+        mean, between, error = random_intercepts(
+            n, levels, means - origin * levels, squares - 2 * origin * means + origin * origin * levels, float(within.sum()))
+        share = F.col("n") * F.lit(between) / (F.col("n") * F.lit(between) + F.lit(error))
+        values = stats.select(col, (share * (F.col("m") - F.lit(origin) - F.lit(mean))).alias("value"))
+        model = MixedModelEncoderModel().with_tables(levels=values)
+        return self._copyValues(model)._set(mean=mean + origin, between=between, error=error)
+
+
+class MixedModelEncoderModel(TableModel, _Encoder):
+    mean = Param(Params._dummy(), "mean", "the model's mean", TypeConverters.toFloat)
+    between = Param(Params._dummy(), "between", "variance of the levels' intercepts", TypeConverters.toFloat)
+    error = Param(Params._dummy(), "error", "variance of the rows around them", TypeConverters.toFloat)
+
+    def __init__(self):
+        super().__init__()
+        self._defaults()
+
+    def _transform(self, dataset):
+        out, value = join_state(dataset, self.tables["levels"], [self.getInputCol()], "value")
+        return out.withColumn(self.getOutputCol(), self._or_invalid(value, 0.0, "double")).drop("_state_value")
+
+
 ENCODERS = {
+    "glmm": MixedModelEncoder,
     "ordinal": OrdinalEncoder, "onehot": OneHotColumns, "binary": BinaryEncoder, "target": SmoothedTargetEncoder,
 }
 

@@ -11,12 +11,13 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.operators.skew import hash_positions
 from rankloom.operators.state import TableModel
-from rankloom.session import durable, pin_state
+from rankloom.session import durable, ensure_checkpoint_dir, pin_state
 from rankloom.sources.readers import both_directions
 
 PIN_EVERY = 5  # joins between two reliable checkpoints
@@ -112,7 +113,7 @@ def walk_embedding(
     """
     nodes = nodes_of(edges).count()
     if nodes * dimensions > MAX_VECTOR_CELLS:
-        raise ValueError(f"{nodes} nodes of {dimensions} dimensions do not fit one skip-gram vocabulary")
+        raise ValueError(f"{nodes} nodes of {dimensions} dimensions do not fit one skip-gram vocabulary: use walk_factors")
     partitions = max(2, -(-nodes * walks // WALKS_PER_TASK))
     paths = random_walks(edges, length, walks, seed, p, q).select(F.col("path").cast("array<string>").alias("path"))
     model = Word2Vec(
@@ -122,6 +123,50 @@ def walk_embedding(
     return model.getVectors().select(F.col("word").alias("node"), vector_to_array("vector").alias("vec"))
 
 
+def cooccurrences(walks: DataFrame, window: int = 5) -> DataFrame:
+    """``a, b, n``: how often two nodes stand within ``window`` steps of each other on a path, in both directions. Nodes that meet
+    themselves do not count."""
+    size = F.size("path")
+    pairs = F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.lit(window), size - 1)), lambda d: F.arrays_zip(
+        F.slice("path", F.lit(1), size - d).alias("a"), F.slice("path", d + 1, size - d).alias("b"))))
+    each = walks.where(size > 1).select(F.explode(pairs).alias("p")).select("p.a", "p.b").where("a <> b")
+    counted = each.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))  # map-side, before the direction is doubled
+    return counted.unionAll(counted.select(F.col("b").alias("a"), F.col("a").alias("b"), "n")).groupBy("a", "b").agg(
+        F.sum("n").alias("n"))
+
+
+def positive_information(counts: DataFrame) -> DataFrame:
+    """``a, b, n`` and ``weight``, the pointwise mutual information of two nodes where it is above zero."""
+    totals = counts.groupBy("a").agg(F.sum("n").alias("t"))
+    everything = counts.agg(F.sum("n").alias("all"))  # one row
+    joined = counts.join(totals, "a").join(totals.select(F.col("a").alias("b"), F.col("t").alias("u")), "b").crossJoin(
+        F.broadcast(everything))
+    weight = F.log(F.col("n") * F.col("all") / F.col("t") / F.col("u"))
+    return joined.select("a", "b", "n", weight.alias("weight")).where("weight > 0")
+
+
+def walk_factors(
+    edges: DataFrame, dimensions: int = 8, length: int = 20, walks: int = 10, seed: int = 0, window: int = 5, p: float = 1.0,
+    q: float = 1.0, max_iter: int = 10, alpha: float = 10.0, penalty: float = 0.01,
+) -> DataFrame:
+    """G1 for graphs of any size: vectors ``node, vec`` from the factorised mutual information of nodes that walks meet together.
+
+    Nothing is held on the driver and no task has the vocabulary: counts are an aggregate, and the factors are found by
+    alternating least squares over blocks of nodes, where a pair's information is how sure it is that they belong together and
+    pairs that never met count as apart. Node numbers are whole numbers of 32 bits, so two thousand million nodes are the end.
+    """
+    ensure_checkpoint_dir(edges.sparkSession)
+    numbers = durable(hash_positions(nodes_of(edges), [], ["node"], seed, "_pos").select("node", (F.col("_pos") - 1).cast("int").alias("id")))
+    met = positive_information(durable(cooccurrences(random_walks(edges, length, walks, seed, p, q), window)))
+    rated = met.join(numbers.select(F.col("node").alias("a"), F.col("id").alias("i")), "a").join(
+        numbers.select(F.col("node").alias("b"), F.col("id").alias("j")), "b").select("i", "j", F.col("weight").cast("float").alias("weight"))
+    fitted = ALS(rank=dimensions, maxIter=max_iter, implicitPrefs=True, alpha=alpha, regParam=penalty, userCol="i", itemCol="j",
+                 ratingCol="weight", seed=seed, checkpointInterval=5).fit(rated)
+    found = fitted.userFactors.select("id", F.col("features").cast("array<double>").alias("vec"))
+    zero = F.array(*[F.lit(0.0)] * dimensions)  # a node that never met another one
+    return numbers.join(found, "id", "left").select("node", F.coalesce("vec", zero).alias("vec"))
+
+
 def cluster_nodes(vectors: DataFrame, k: int = 6, seed: int = 0) -> DataFrame:
     """``node, cluster`` by k-means on the node vectors."""
     points = vectors.select("node", array_to_vector("vec").alias("features"))

@@ -168,12 +168,20 @@ def ndcg_by_group(
 
     def discounted(pos: str) -> Column:
         part = gain / F.log2(F.col(pos) + 1)
-        return F.sum(part if k is None else F.when(F.col(pos) <= k, part).otherwise(0.0))
+        return _exact_sum(part if k is None else F.when(F.col(pos) <= k, part).otherwise(0.0))
 
     dcg = placed.groupBy(*factors).agg(discounted("_pos").alias("_dcg"), discounted("_ideal").alias("_best"))
     return dcg.select(*factors, F.coalesce(F.try_divide("_dcg", "_best"), F.lit(0.0)).alias("ndcg"))
 
 
+def _exact_sum(part: Column) -> Column:
+    """A sum of doubles that does not depend on their order: of decimals of twelve places. Above 10**16 (relevances above 53) it
+    is the sum of the doubles themselves."""
+    decimal = part.try_cast("decimal(28,12)")
+    beyond = F.count(F.when(decimal.isNull() & part.isNotNull(), 1))
+    return F.when(beyond == 0, F.try_sum(decimal).cast("double")).otherwise(F.sum(part))
+
+
 def _positions(df: DataFrame, factors: list[str], value: str, item: str, seed: int, out: str) -> DataFrame:
     """Row number by descending value, ties in hash order, for groups and tie runs of any size."""
     first = group_ranks(df, factors, value, "_first", "min", False, limit=0)  # sized already

@@ -30,6 +30,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--target", default="rank")
     p.add_argument("--as_neural_network", action="store_true", help="use the listwise scorer instead")
     p.add_argument("--epochs", type=int, default=200, help="iterations of the listwise scorer")
+    p.add_argument("--list_length", type=int, default=32, help="items of a list of the listwise scorer")
     p.add_argument("--opt_iterations", type=int, default=100, help="trials of a search")
     p.add_argument("--metafeatures", default="", help="Parquet side table keyed by dataset")
     p.add_argument("--graph", default="", help="adjacency list of the items")
@@ -53,13 +54,13 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> DataFrame:
         read_adjacency(spark, args.graph, directed=True) if args.graph else None,
     )
     if args.as_neural_network:
-        spec = registry.LISTWISE_SCORER.with_params({"estimator__maxIter": args.epochs})
-        scores = ev.holdout(spec, train, where)
+        spec = registry.LISTWISE_SCORER.with_params({
+            "estimator__maxIter": args.epochs, "estimator__length": args.list_length})
+        scores = ev.holdout_lists(spec, train, where, args.list_length)
     else:
         spec = registry.create(args.pipeline_type)
         if spec.space is not None:
-            trials, best = ev.search(spec, train, where, mode="grid" if spec.strategy == "grid_search" else "random",
-                                     trials=args.opt_iterations)
+            trials, best = ev.search(spec, train, where, mode=ev.MODES[spec.strategy], trials=args.opt_iterations)
             if best is None:
                 raise RuntimeError(f"every trial failed, for instance: {trials.select('error').first()[0]}")
             spec = spec.with_params(best)

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import itertools
-import random
 import time
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
@@ -24,9 +22,12 @@ from rankloom.operators.reshape import explode_lists
 from rankloom.operators.splits import group_kfold_keys, group_split_keys, row_split
 from rankloom.session import pin_state
 from rankloom.plans.framing import FittedSpec, fit
+from rankloom.plans.samplers import SAMPLERS, Choice, Integer, RandomSampler, Real
 from rankloom.plans.spec import ModelSpec, Setting
 
 FOLD_THREADS = 3
+#: How the trials of each strategy are drawn.
+MODES = {"grid_search": "grid", "random_search": "random", "trial_search": "parzen", "surrogate_search": "surrogate"}
 SCORES_SCHEMA = "approach string, fold int, metric string, score double, groups long, runtime double"
 TRIALS_SCHEMA = "trial int, params map<string,string>, fold int, score double, status string, error string"
 
@@ -68,14 +69,15 @@ def _score(fitted: FittedSpec, test: DataFrame, where: Setting) -> tuple[float |
 
 def cross_validate(
     spec: ModelSpec, df: DataFrame, where: Setting, folds: int = 5, frac: float = 0.75, mode: str = "resample",
-    seed: int = 0, stratum: Sequence[str] | None = None, threads: int = FOLD_THREADS,
+    seed: int = 0, stratum: Sequence[str] | None = None, threads: int = FOLD_THREADS, table: DataFrame | None = None,
 ) -> DataFrame:
     """V4/V5: one score row per fold. ``resample`` draws a new stratified split per fold (seed + fold); ``kfold``
-    partitions the groups (V3). The rows are cached once and each fold is a filter on a small table of groups."""
+    partitions the groups (V3), by ``table`` (the factors and ``fold``) if it is given. The rows are cached once and each fold is
+    a filter on a small table of groups."""
     rows = df.select(*where.roles).persist()
     try:
         def one(i: int) -> tuple:
-            return _fold(spec, rows, where, i, folds, frac, mode, seed, stratum)
+            return _fold(spec, rows, where, i, folds, frac, mode, seed, stratum, table)
 
         with ThreadPool(min(threads, folds)) as pool:
             scores = pool.map(inheritable_thread_target(df.sparkSession)(one), range(folds))
@@ -84,21 +86,21 @@ def cross_validate(
     return df.sparkSession.createDataFrame(scores, SCORES_SCHEMA)
 
 
-def _sides(rows, where, i, folds, frac, mode, seed, stratum) -> tuple[DataFrame, DataFrame]:
+def _sides(rows, where, i, folds, frac, mode, seed, stratum, table=None) -> tuple[DataFrame, DataFrame]:
     if mode == "resample":
         keys = group_split_keys(rows, where.factors, where.factors[:1] if stratum is None else stratum, frac, seed + i)
     elif mode == "kfold":
-        keys = group_kfold_keys(rows, where.factors, folds, seed).select(*where.factors,
-                                                                         (F.col("fold") != i).alias("is_train"))
+        keys = pin_state(group_kfold_keys(rows, where.factors, folds, seed)) if table is None else table
+        keys = keys.select(*where.factors, (F.col("fold") != i).alias("is_train"))
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    split = rows.join(pin_state(keys), where.factors)  # evaluated once for both sides
+    split = rows.join(keys if mode == "kfold" else pin_state(keys), where.factors)  # evaluated once for both sides
     return split.where("is_train").drop("is_train"), split.where(~F.col("is_train")).drop("is_train")
 
 
-def _fold(spec, rows, where, i, folds, frac, mode, seed, stratum) -> tuple:
+def _fold(spec, rows, where, i, folds, frac, mode, seed, stratum, table) -> tuple:
     start = time.monotonic()
-    train, test = _sides(rows, where, i, folds, frac, mode, seed, stratum)
+    train, test = _sides(rows, where, i, folds, frac, mode, seed, stratum, table)
     train = train.persist()
     try:
         score, groups = _score(fit(spec, train, where), test, where)
@@ -147,10 +149,13 @@ def holdout_lists(spec: ModelSpec, df: DataFrame, where: Setting, n: int = 15, f
     scored = None
     try:
         train, test = _sides(rows, where, 0, 1, frac, "resample", seed, None)
-        drawn = sample_lists(train, where.factors, where.item, where.target, n, seed=seed).drop("list_no")
-        flat = explode_lists(drawn, ["items", "ranks"]).withColumnsRenamed({"items": where.item, "ranks": where.target})
+        if spec.framing == "list_network":  # it draws its lists itself
+            spec = spec.with_params({"estimator__length": n, "estimator__seed": seed})
+        else:
+            drawn = sample_lists(train, where.factors, where.item, where.target, n, seed=seed).drop("list_no")
+            train = explode_lists(drawn, ["items", "ranks"]).withColumnsRenamed({"items": where.item, "ranks": where.target})
         test = test.where(F.col(where.target).isNotNull())
-        scored = fit(spec, flat, where).predict(test).persist()
+        scored = fit(spec, train, where).predict(test).persist()
         top = scored.agg(F.max(where.target)).first()[0]
         graded = scored.withColumns({"_gain": F.lit(top) - F.col(where.target), "_score": -F.col("prediction")})
         found = {
@@ -170,32 +175,6 @@ def holdout_lists(spec: ModelSpec, df: DataFrame, where: Setting, n: int = 15, f
 
 # --- search ---------------------------------------------------------------------------------------------------------
 
-@dataclass(frozen=True)
-class Choice:
-    values: tuple
-
-    def draw(self, rng: random.Random):
-        return rng.choice(self.values)
-
-
-@dataclass(frozen=True)
-class Integer:
-    low: int
-    high: int
-
-    def draw(self, rng: random.Random):
-        return rng.randint(self.low, self.high)
-
-
-@dataclass(frozen=True)
-class Real:
-    low: float
-    high: float
-
-    def draw(self, rng: random.Random):
-        return rng.uniform(self.low, self.high)
-
-
 def search_axis(name: str, values: Any) -> Choice | Integer | Real:
     """One axis of a search space. A typed axis stays what it is; exactly two numbers bound a range, of whole numbers if
     both are whole; any other sequence is a choice. Values of different kinds on one axis are an error."""
@@ -228,38 +207,62 @@ def trial_settings(space: Mapping[str, Any], mode: str, trials: int, seed: int)
         return [dict(zip(lists, combo)) for combo in itertools.product(*lists.values())]
     if mode != "random":
         raise ValueError(f"unknown mode {mode!r}")
-    rng = random.Random(seed)
-    axes = infer_space(space)
-    return [{name: axis.draw(rng) for name, axis in axes.items()} for _ in range(trials)]
+    sampler = RandomSampler(infer_space(space), seed)
+    return [sampler.ask([]) for _ in range(trials)]
 
 
 def search(
     spec: ModelSpec, df: DataFrame, where: Setting, space: Mapping[str, Any] | None = None, mode: str = "random",
-    trials: int = 10, folds: int = 4, seed: int = 0, split: str = "kfold",
+    trials: int = 10, folds: int = 4, seed: int = 0, split: str = "kfold", parallel: int = 2, startup: int | None = None,
 ) -> tuple[DataFrame, dict | None]:
     """V6-V9: a row per trial and fold, and the settings with the largest mean score (the first among equals).
 
-    Every trial is built from its own copy of the specification. A failing trial is recorded with its error and is
-    never counted as a score.
+    ``mode``: every combination of a ``grid``, ``random`` draws, or draws that follow the scores so far: ``surrogate`` (V8)
+    or ``parzen`` (V9), the first ``startup`` of which are random. ``parallel`` trials run at once, each in a pool of the
+    scheduler, and a sampler is told which are running. The folds are drawn once for all trials. Every trial is built from
+    its own copy of the specification. A failing trial is recorded with its error and is never counted as a score.
     """
-    settings = trial_settings(space or spec.space or {}, mode, trials, seed)
+    space = space or spec.space or {}
+    if mode == "grid" or mode == "random":
+        settings = trial_settings(space, mode, trials, seed)
+        ask = iter(settings).__next__
+    elif mode in SAMPLERS:
+        options = {} if startup is None else {"startup": startup}
+        sampler, settings = SAMPLERS[mode](infer_space(space), seed, **options), []
+    else:
+        raise ValueError(f"unknown mode {mode!r}")
+    total = len(settings) if mode in ("grid", "random") else trials
     rows = df.select(*where.roles).persist()
-    out, means = [], {}
+    out, history = [], []
+
+    def one(trial: tuple[int, dict]) -> list[tuple]:
+        t, params = trial
+        df.sparkSession.sparkContext.setLocalProperty("spark.scheduler.pool", f"trial-{t % parallel}")
+        text = {k: str(v) for k, v in params.items()}
+        try:
+            scores = cross_validate(spec.with_params(params), rows, where, folds, mode=split, seed=seed, table=table).collect()
+            return [(t, text, r["fold"], r["score"], "ok", None) for r in scores]
+        except Exception as e:  # a failed trial is a result of the search
+            return [(t, text, None, None, "failed", f"{type(e).__name__}: {str(e)[:300]}")]
+
     try:
-        for t, params in enumerate(settings):
-            text = {k: str(v) for k, v in params.items()}
-            try:
-                scores = cross_validate(spec.with_params(params), rows, where, folds, mode=split, seed=seed).collect()
-                out += [(t, text, r["fold"], r["score"], "ok", None) for r in scores]
-                defined = [r["score"] for r in scores if r["score"] is not None]
-                if defined:
-                    means[t] = sum(defined) / len(defined)
-            except Exception as e:  # a failed trial is a result of the search
-                out.append((t, text, None, None, "failed", f"{type(e).__name__}: {str(e)[:300]}"))
+        table = pin_state(group_kfold_keys(rows, where.factors, folds, seed)) if split == "kfold" else None
+        run = inheritable_thread_target(df.sparkSession)(one)
+        with ThreadPool(parallel) as pool:
+            while len(history) < total:
+                asked = []
+                for _ in range(min(parallel, total - len(history))):
+                    asked.append(ask() if mode in ("grid", "random") else sampler.ask([*history, *((p, None) for p in asked)]))
+                found = pool.map(run, [(len(history) + i, p) for i, p in enumerate(asked)])
+                for params, each in zip(asked, found):
+                    defined = [r[3] for r in each if r[3] is not None]
+                    history.append((params, sum(defined) / len(defined) if defined else None))
+                    out += each
     finally:
         rows.unpersist()
-    best = max(means, key=lambda t: (means[t], -t)) if means else None
-    return df.sparkSession.createDataFrame(out, TRIALS_SCHEMA), None if best is None else settings[best]
+    scored = [t for t, (_, score) in enumerate(history) if score is not None]
+    best = max(scored, key=lambda t: (history[t][1], -t)) if scored else None
+    return df.sparkSession.createDataFrame(out, TRIALS_SCHEMA), None if best is None else history[best][0]
 
 
 def best_trial(trials: DataFrame) -> DataFrame:
@@ -275,9 +278,9 @@ def evaluate(spec: ModelSpec, df: DataFrame, where: Setting, strategy: str | Non
         return holdout(spec, df, where, **options)
     if strategy == "cross_validation":
         return cross_validate(spec, df, where, **options)
-    if strategy in ("grid_search", "random_search", "trial_search"):
+    if strategy in MODES:
         folds = options.pop("final_folds", 5)
-        _, best = search(spec, df, where, mode="grid" if strategy == "grid_search" else "random", **options)
+        _, best = search(spec, df, where, mode=MODES[strategy], **options)
         if best is None:
             raise RuntimeError(f"every trial of {spec.name} failed")
         return cross_validate(spec.with_params(best), df, where, folds)

@@ -62,6 +62,24 @@ def f4(spark, sf_dir):
     return model.transform(rows).select(*KEYS, F.round("f_encoder", 6).alias("f_encoder"))
 
 
+@query("f6_mixed_model_encoder", """WITH RECURSIVE
+lv AS (SELECT l_quantity, COUNT(*) AS n, AVG(l_extendedprice) AS m, VAR_POP(l_extendedprice) AS v FROM lineitem GROUP BY l_quantity),
+tot AS (SELECT SUM(n) AS rows, COUNT(*) AS levels, SUM(n * v) AS within FROM lv),
+em(step, mu, su, se) AS (
+  SELECT 0, mu, (SELECT AVG((m - mu) * (m - mu)) FROM lv), within / rows FROM tot, (SELECT SUM(n * m) / SUM(n) AS mu FROM lv)
+  UNION ALL
+  SELECT step + 1, SUM(n * (m - share * (m - mu))) / rows, SUM(share * share * (m - mu) * (m - mu) + spread) / levels,
+    (within + SUM(n * ((1 - share) * (1 - share) * (m - mu) * (m - mu) + spread))) / rows
+  FROM (SELECT *, n * su / (n * su + se) AS share, su * se / (n * su + se) AS spread FROM em, lv, tot WHERE step < 1500)
+  GROUP BY step, rows, levels, within)
+SELECT l_quantity, ROUND(n * su / (n * su + se) * (m - mu), 3) AS f_quantity
+FROM lv, (SELECT * FROM em ORDER BY step DESC LIMIT 1)""")
+def f6_mixed(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice")
+    model = encoders.MixedModelEncoder(inputCol="l_quantity", outputCol="f_quantity", labelCol="l_extendedprice").fit(rows)
+    return model.transform(rows.select("l_quantity").distinct()).select("l_quantity", F.round("f_quantity", 3).alias("f_quantity"))
+
+
 @query("f5_factor_encoders", f"""WITH {RANKED_CTE}
 SELECT dataset, encoder, m.code AS f_model, ROUND(t.value, 6) AS f_tuning,
   {", ".join(f"CASE WHEN s.code = {i} THEN 1 ELSE 0 END AS f_scoring_{i}" for i in (1, 2, 3))}

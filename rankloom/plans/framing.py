@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.models.estimators import PerOutputEstimator
+from rankloom.models.list_network import ListScorer
+from rankloom.operators.encoders import OrdinalEncoder
 from rankloom.operators.features import AssembleFeatures
+from rankloom.operators.lists import sample_lists
 from rankloom.operators.pairs import pairwise_target, wins_to_ranking
 from rankloom.operators.relational import distinct_groups
-from rankloom.operators.reshape import distinct_items, melt_target, pivot_target
+from rankloom.operators.reshape import distinct_items, explode_lists, melt_target, pivot_target
 from rankloom.operators.targets import GroupMinMax, RankBinarizer
 from rankloom.plans.spec import ESTIMATOR, ModelSpec, Setting, load_fitted, save_fitted
 
@@ -43,8 +46,14 @@ class FittedSpec:
             )
             scores = wins_to_ranking(made, self.factors, self.item, out="prediction")
             scores = scores.withColumn("prediction", F.col("prediction").cast("double"))
-        elif self.framing == "listwise":
+        elif self.framing in ("listwise", "list_network"):
             scores = self.model.transform(df.select(*keys)).select(*keys, "prediction")
+        elif self.framing == "multioutput":
+            items = F.array(*map(F.lit, self.extra["items"]))
+            whole = self.model.transform(distinct_groups(df, self.factors))
+            each = whole.select(*self.factors, F.explode(F.arrays_zip(items.alias("i"), F.col("prediction").alias("p"))).alias("_z"))
+            scores = each.select(*self.factors, F.col("_z.i").cast(df.schema[self.item].dataType).alias(self.item),
+                                 F.col("_z.p").alias("prediction"))
         else:  # dimensionwise
             items = self.extra["items"]
             wide = self.model.transform(distinct_groups(df, self.factors))
@@ -103,6 +112,10 @@ def fit(spec: ModelSpec, train: DataFrame, where: Setting) -> FittedSpec:
         rows = melt_target(wide, where.factors, items, where.item, "label").withColumn(
             "label", F.col("label").cast("double"))
         item_in_rows = True
+    elif spec.framing == "multioutput":
+        return _fit_multioutput(spec, rows, where)
+    elif spec.framing == "list_network":
+        return _fit_list_network(spec, rows, where)
     else:
         return _fit_dimensionwise(spec, rows, where)
     stages = spec.build(where, "label", item_in_rows)
@@ -128,6 +141,35 @@ def fit_stages(stages: list, rows: DataFrame) -> PipelineModel:
     return PipelineModel(stages=[*prepared.stages, fitted])
 
 
+def _fit_multioutput(spec: ModelSpec, rows: DataFrame, where: Setting) -> FittedSpec:
+    """One model for the targets of all items, on one row per group."""
+    items = distinct_items(rows, where.item)
+    wide = pivot_target(rows, where.factors, where.item, where.target, items)
+    wide = wide.select(*where.factors, F.array(*[F.col(f"`{i}`").cast("double") for i in items]).alias("label"))
+    # The pivoted frame holds the factors only.
+    stages = [p for s in spec.stages if s.kind != "keep" for p in s.build(where, None, False)]
+    return FittedSpec("multioutput", fit_stages(stages, wide), where.factors, where.item, {"items": [str(i) for i in items]})
+
+
+def _fit_list_network(spec: ModelSpec, rows: DataFrame, where: Setting) -> FittedSpec:
+    """A scorer fitted on sampled lists of ``length`` items, ``lists`` for each group."""
+    settings = dict(spec.estimator().settings)
+    settings.pop("kind")
+    length, lists, seed = settings.pop("length", 32), settings.pop("lists", 1), settings.get("seed", 0)
+    drawn = sample_lists(rows, where.factors, where.item, where.target, length, lists, seed)
+    flat = explode_lists(drawn, ["items", "ranks"]).withColumnsRenamed({"items": where.item, "ranks": where.target})
+    codes = {c: f"_code_{c}" for c in [*where.factors, where.item]}
+    scorer = ListScorer(factorCols=[codes[c] for c in where.factors], itemCol=codes[where.item], targetCol=where.target,
+                        listCols=[*where.factors, "list_no"], **settings)
+    stages = [*[OrdinalEncoder(inputCol=c, outputCol=o) for c, o in codes.items()], scorer]
+    flat = flat.persist()
+    try:
+        model = Pipeline(stages=stages).fit(flat)
+    finally:
+        flat.unpersist()
+    return FittedSpec("list_network", model, where.factors, where.item, {})
+
+
 def _fit_dimensionwise(spec: ModelSpec, rows: DataFrame, where: Setting) -> FittedSpec:
     """One model per item on one row per group."""
     items = distinct_items(rows, where.item)

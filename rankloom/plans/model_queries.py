@@ -58,6 +58,11 @@ def g1_embedding(spark, sf_dir):
     return graph.walk_embedding(item_edges(spark, sf_dir), dimensions=2, length=20, walks=1000)
 
 
+@query("g1_walk_factors")
+def g1_factors(spark, sf_dir):
+    return graph.walk_factors(purchase_edges(spark, sf_dir), dimensions=8, length=10, walks=4)
+
+
 @query("g2_node_clusters")
 def g2(spark, sf_dir):
     return graph.cluster_nodes(graph.walk_embedding(item_edges(spark, sf_dir), dimensions=2, length=20, walks=1000), k=6)
@@ -149,6 +154,24 @@ _embedding_classifier("e4_forest_classifier", "forest_classifier")
 _embedding_classifier("e5_boosting_classifier", "boosting_classifier")
 _embedding_classifier("e7_perceptron_classifier", "mlp_classifier")
 _embedding_classifier("e8_linear_svc", "svc_classifier")
+_embedding_classifier("e8_kernel_svc", "kernel_svc_classifier")
+_embedding_classifier("e5_adaboost_classifier", "adaboost_classifier")
+
+
+def _regressor(name: str, kind: str):
+    """The regression specification with another estimator, on one hold-out split."""
+
+    @query(name)
+    def plan(spark, sf_dir):
+        spec = registry.create("regre_no_search").with_estimator(kind)
+        return ev.holdout(spec, rows_of(spark, sf_dir), setting(spark, sf_dir))
+
+    return plan
+
+
+_regressor("e7_perceptron_regressor", "mlp")
+_regressor("e8_support_vector_regressor", "svr")
+_regressor("e8_kernel_svr", "kernel_svr")
 
 
 @query("e11_listwise_scorer")
@@ -194,6 +217,24 @@ def v8(spark, sf_dir):
     return trials
 
 
+@query("v8_surrogate_search")
+def v8_surrogate(spark, sf_dir):
+    """The published space; after four draws the surrogate chooses."""
+    spec = registry.create("listwise_multidimensional_regression_bayes_search")
+    trials, _ = ev.search(spec, rows_of(spark, sf_dir), setting(spark, sf_dir), mode=ev.MODES[spec.strategy], trials=8, folds=2,
+                          startup=4)
+    return trials
+
+
+@query("v9_parzen_search")
+def v9_parzen(spark, sf_dir):
+    """The published space; after four draws the densities choose."""
+    spec = registry.create("pairwise_classification_optuna_search")
+    trials, _ = ev.search(spec, rows_of(spark, sf_dir), setting(spark, sf_dir), mode=ev.MODES[spec.strategy], trials=6, folds=2,
+                          startup=4)
+    return trials
+
+
 @query("v9_inferred_space_trials")
 def v9(spark, sf_dir):
     space = ev.infer_space({
@@ -201,7 +242,7 @@ def v9(spark, sf_dir):
         "general_transformer__model": ["onehot", "binary", "ordinal"],
     })
     trials, _ = ev.search(registry.create("pairwise_classification_optuna_search"), rows_of(spark, sf_dir),
-                          setting(spark, sf_dir), space, trials=2, folds=2)
+                          setting(spark, sf_dir), space, mode="parzen", trials=2, folds=2)
     return ev.best_trial(trials)
 
 
@@ -236,8 +277,7 @@ def _searched(spec_name: str, name: str):
     @query(name)
     def plan(spark, sf_dir):
         spec = registry.create(spec_name)
-        mode = "grid" if spec.strategy == "grid_search" else "random"
-        trials, _ = ev.search(spec, rows_of(spark, sf_dir), setting(spark, sf_dir), mode=mode, trials=2, folds=2)
+        trials, _ = ev.search(spec, rows_of(spark, sf_dir), setting(spark, sf_dir), mode=ev.MODES[spec.strategy], trials=2, folds=2)
         return trials
 
     return plan

@@ -29,7 +29,6 @@ KEEP = Stage("keeper", "keep", {"columns": FACTOR_COLUMNS})
 TARGET_MIX = _factors("onehot", "target", "target")
 ALL_ONE_HOT = _factors("onehot", "onehot", "onehot")
 PAIR_ITEMS = Stage("item_encoder", "item_encoder", {"columns": ("item_a", "item_b"), "encoder": "onehot"})
-LIST_ITEM = Stage("item_encoder", "item_encoder", {"columns": ("encoder",), "encoder": "onehot"})
 
 REGRESSION = (_embedding("onehot"), _side(), TARGET_MIX)
 ONE_HOT = (_embedding("onehot"), _side(), ALL_ONE_HOT)
@@ -50,7 +49,8 @@ def _factor_space(*kinds: str) -> dict:
     return {f"general_transformer__{f}": Choice(kinds) for f in ("model", "tuning", "scoring")}
 
 
-TREE_SPACE = {f"{ESTIMATOR}__depth": DEPTHS, f"{ESTIMATOR}__leaf": LEAVES}
+TREE_SPACE = {f"{ESTIMATOR}__depth": DEPTHS, f"{ESTIMATOR}__leaf": LEAVES, f"{ESTIMATOR}__subset": SUBSETS}
+MULTI_TREE_SPACE = {**TREE_SPACE, f"{ESTIMATOR}__split": Integer(2, 5)}
 FOREST_SPACE = {f"{ESTIMATOR}__depth": DEPTHS, f"{ESTIMATOR}__trees": Integer(50, 200), f"{ESTIMATOR}__leaf": LEAVES,
                 f"{ESTIMATOR}__subset": SUBSETS}
 ITEM_SPACE = {"encoder_transformer__encoder": Choice((None, "onehot"))}
@@ -67,7 +67,7 @@ GRID_SPACE = {
 }
 
 
-def _with_search(base: ModelSpec, name: str, space: dict, strategy: str = "random_search") -> ModelSpec:
+def _with_search(base: ModelSpec, name: str, space: dict, strategy: str = "surrogate_search") -> ModelSpec:
     return ModelSpec(name, base.framing, base.stages, space, strategy)
 
 
@@ -90,7 +90,7 @@ def _build() -> dict[str, ModelSpec]:
         ModelSpec("pointwise_classification_no_search", "classification", (KEEP, *REGRESSION, classes)),
         ModelSpec("pointwise_ordinal_regression_no_search", "ordinal", (KEEP, *ONE_HOT, classes)),
         ModelSpec("pairwise_classification_no_search", "pairwise", pair_stages),
-        ModelSpec("listwise_multidimensional_regression_no_search", "listwise", (*list_stages, LIST_ITEM, tree)),
+        ModelSpec("listwise_multidimensional_regression_no_search", "multioutput", (*list_stages, _estimator("multi_tree"))),
         ModelSpec("listwise_dimensionwise_regression_no_search", "dimensionwise", (*list_stages, tree)),
     ]
     specs = {s.name: s for s in plain}
@@ -104,7 +104,7 @@ def _build() -> dict[str, ModelSpec]:
         ("pointwise_ordinal_regression_no_search", "pointwise_ordinal_regression_bayes_search",
          {**ITEM_SPACE, **SIDE_SPACE, **WITHOUT_TARGET, **TREE_SPACE}),
         ("listwise_multidimensional_regression_no_search", "listwise_multidimensional_regression_bayes_search",
-         {**SIDE_SPACE, **WITHOUT_TARGET, **TREE_SPACE}),
+         {**SIDE_SPACE, **WITHOUT_TARGET, **MULTI_TREE_SPACE}),
         ("listwise_dimensionwise_regression_no_search", "listwise_dimensionwise_regression_bayes_search",
          {**SIDE_SPACE, **WITHOUT_TARGET, **TREE_SPACE}),
     ]
@@ -119,11 +119,9 @@ def _build() -> dict[str, ModelSpec]:
 
 SPECS = _build()
 
-# Factor and item vectors multiplied by a factorization machine, trained on sampled lists.
-LISTWISE_SCORER = ModelSpec("listwise_scorer", "listwise", (
-    KEEP, Stage("general_transformer", "factor_encoders", dict.fromkeys(FACTOR_COLUMNS, "onehot")), LIST_ITEM,
-    _estimator("factorization", factorSize=8, maxIter=50, stepSize=0.05),
-))
+# Factor and item vectors under a scoring network, trained on the order of sampled lists.
+LISTWISE_SCORER = ModelSpec("listwise_scorer", "list_network", (
+    _estimator("list_network", length=32, lists=1, size=32, hidden=[256, 64], maxIter=100),))
 
 
 def create(name: str) -> ModelSpec:

@@ -85,7 +85,8 @@ class Stage:
         raise ValueError(f"unknown stage kind {self.kind!r}")
 
 
-FRAMINGS = ("regression", "normalized", "classification", "ordinal", "pairwise", "listwise", "dimensionwise")
+FRAMINGS = ("regression", "normalized", "classification", "ordinal", "pairwise", "listwise", "multioutput", "list_network",
+            "dimensionwise")
 
 
 @dataclass(frozen=True)
