@@ -38,7 +38,7 @@ class _Shape:
 
     def start(self, seed: int) -> np.ndarray:
         rng = np.random.default_rng(seed)
-        return np.concatenate([rng.normal(size=self.rows * self.size) * 0.1, start_weights(self.sizes, rng)])
+        return np.concatenate([rng.normal(size=self.rows * self.size) * 0.5, start_weights(self.sizes, rng)])
 
     def vectors(self, weights: np.ndarray) -> np.ndarray:
         return np.concatenate([np.zeros((1, self.size)), weights[: self.rows * self.size].reshape(-1, self.size)])

@@ -75,9 +75,9 @@ def layers_of(weights: np.ndarray, sizes: list[int]) -> list[tuple[np.ndarray, n
 
 
 def start_weights(sizes: list[int], rng: np.random.Generator) -> np.ndarray:
-    """Uniform within the bounds that keep the spread of what passes through the layers."""
-    return np.concatenate([
-        rng.uniform(-1, 1, a * b + b) * np.sqrt(6.0 / (a + b)) for a, b in zip(sizes, sizes[1:])])
+    """Uniform within the bounds that keep the spread of what passes through the layers; offsets are zero."""
+    return np.concatenate([np.concatenate([rng.uniform(-1, 1, a * b) * np.sqrt(6.0 / (a + b)), np.zeros(b)])
+                           for a, b in zip(sizes, sizes[1:])])
 
 
 def forward(x: np.ndarray, layers) -> list[np.ndarray]:
