@@ -4,10 +4,10 @@ whatever their case."""
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,8 +18,6 @@ UNKNOWN = "und"
 DICTIONARY_BYTES = 64 << 10
 #: Hash buckets of a language: one text is drawn from each, so this bounds the sample.
 DRAWS = 256
-#: Bytes of a drawn text that go into its language's dictionary.
-SHARE = 1 << 10
 #: Of zstandard: from here on it searches the whole dictionary for matches.
 LEVEL = 9
 #: A text is compressed in blocks, so that the dictionary and not the text's own past explains it.
@@ -29,8 +27,9 @@ SHIFTS = 8
 #: A prediction is rejected when the runner-up needs less than this share of bytes more.
 MARGIN = 0.002
 
-_LETTER = re.compile(r"[^\W\d_]")
-_LETTERS = re.compile(r"[^\W\d_]+")
+# Unicode's category L, as in the training rows: numbers such as a half or a circled two are no letters.
+_LETTER = regex.compile(r"\p{L}")
+_LETTERS = regex.compile(r"\p{L}+")
 
 
 @dataclass(frozen=True)
@@ -55,8 +54,9 @@ def learn(docs: DataFrame, training: Column) -> Dictionaries:
     """Dictionaries of all non-null languages in the rows of ``docs`` where ``training`` holds.
 
     Of each language, the rows are dealt into ``DRAWS`` hash buckets and the text with the smallest hash of each bucket
-    is drawn (ids are read for that, not texts); drawn texts share the dictionary evenly. So no language, however
-    frequent, meets in one task. Rows without text or without a letter teach nothing.
+    is drawn; drawn texts share the dictionary evenly, each with a part that begins at a hashed place, so that all draws
+    count and any part of a text may teach. So no language, however frequent, meets in one task. Rows without text or without
+    a letter teach nothing; repeated rows are drawn once; an empty table teaches no language.
     """
     order = F.xxhash64("doc_id", "text")
     known = docs.select("doc_id", "text", "lang").where(training & F.col("lang").isNotNull()).where(
@@ -65,9 +65,11 @@ def learn(docs: DataFrame, training: Column) -> Dictionaries:
     drawn = ranked.groupBy("lang", "bucket").agg(F.min("h").alias("h"), F.count(F.lit(1)).alias("n"))
     drawn = written(compact(drawn, 0), "draws")
     rows = drawn.count()
-    picked = drawn.select("lang", "h")
+    shares = drawn.groupBy("lang").agg(F.ceil(F.lit(DICTIONARY_BYTES) / F.count(F.lit(1))).cast("int").alias("share"))
+    picked = drawn.select("lang", "h").join(shares, "lang")
     found = known.withColumn("h", order).join(F.broadcast(picked) if small_enough(rows, 40) else picked, ["lang", "h"])
-    texts = found.select("lang", "h", F.substring("text", 1, SHARE).alias("text")).dropDuplicates(["lang", "h"])
+    part = F.expr("substring(text, 1 + CAST(pmod(h DIV 4096, greatest(1, length(text) - share + 1)) AS INT), share)")
+    texts = found.select("lang", "h", part.alias("text")).dropDuplicates(["lang", "h"])
     by: dict[str, list[tuple[int, bytes]]] = {}
     for r in texts.orderBy("lang", "h").toLocalIterator():
         held = by.setdefault(r["lang"], [])

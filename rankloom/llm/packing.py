@@ -36,6 +36,10 @@ ROWS_PER_BUCKET = 1024
 # Fixed values of byte-level BPE: bytes 0 to 32, 127 to 160 and 173 are written as the characters from U+0100 on.
 UNPRINTED = {b: 0x100 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
 
+#: Bytes that characters from U+0300 on begin with. The tokenizer joins combining marks to their letters before it lower-cases,
+#: so a word that may hold one goes to it as it is.
+COMPOSING = np.arange(256) >= 0xCC
+
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 PIECES_ARROW = pa.schema([
     ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
@@ -48,7 +52,7 @@ class RunIds:
 
     A text is cut into runs between which the tokenizer never joins anything: at ASCII white space, and inside words of
     plain letters and signs also between letters and signs. Words with an apostrophe or with a character beyond Latin-1
-    letters stay whole. Each distinct run is encoded once by the tokenizer and remembered; the rest is numpy. A run of
+    letters stay whole, those with characters that may combine in their own case. Each distinct run is encoded once by the tokenizer and remembered; the rest is numpy. A run of
     letters goes straight to the tokenizer's merges, as normalising and splitting change nothing about it but the case;
     whether they do so in the given tokenizer is tried out first.
 
@@ -131,7 +135,7 @@ class RunIds:
             yield ids
 
     def _of_runs(self, column: pa.Array) -> Iterator[np.ndarray]:
-        for runs in words_of(column, UNSPACED, lower=True, cut=_letters_from_signs):
+        for runs in words_of(column, UNSPACED, lower=True, cut=_letters_from_signs, keep=COMPOSING):
             _, first, which = np.unique(runs.hashes(), return_index=True, return_inverse=True)
             raw = runs.data.tobytes()
             distinct = [raw[s:e] for s, e in zip(runs.start[first].tolist(), runs.end[first].tolist())]

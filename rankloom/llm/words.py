@@ -99,18 +99,32 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8) if data is not None else np.empty(0, dtype=np.uint8), at
 
 
+def _lowered(part: np.ndarray, offsets: np.ndarray, kind: np.ndarray, keep: np.ndarray) -> np.ndarray:
+    inside = kind[part]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    at = offsets[offsets < len(part)]
+    begins[at] = inside[at]
+    word = np.cumsum(begins)
+    kept = np.zeros(int(word[-1]) + 1, dtype=bool)
+    kept[word[keep[part] & inside]] = True
+    return np.where(kept[word], part, LOWER[part])
+
+
 def words_of(
-    column: pa.Array, kind: np.ndarray, lower: bool, cut: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None
+    column: pa.Array, kind: np.ndarray, lower: bool, cut: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
+    keep: np.ndarray | None = None,
 ) -> Iterator[Words]:
     """Slices of a column, each as its words. ``cut`` may cut words further: from the bytes, and the number of the word
-    that each byte is in or after, it tells where in a word another one begins."""
+    that each byte is in or after, it tells where in a word another one begins. Words with a byte of the class ``keep`` are not
+    lower-cased."""
     data, at = texts_of(column)
     first = 0
     while first < len(at) - 1:
         last = max(first + 1, int(np.searchsorted(at, at[first] + SLICE_BYTES, side="right")) - 1)
         part, offsets = data[at[first]: at[last]], at[first: last + 1] - at[first]
         if lower:
-            part = LOWER[part]
+            part = LOWER[part] if keep is None or not keep[part].any() else _lowered(part, offsets, kind, keep)
         inside = np.zeros(len(part) + 2, dtype=np.int8)
         inside[1:-1] = kind[part]
         border = np.zeros(len(part) + 1, dtype=bool)

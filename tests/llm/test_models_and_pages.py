@@ -63,6 +63,14 @@ def odd(spark):
     return docs.withColumns({"h": F.lit("x"), "score": F.lit(1), "kind": F.lit("y"), "label": F.lit("z")})
 
 
+def test_numbers_are_no_letters(spark):
+    known = langid.Dictionaries(["de", "en"], [b"der die das und nicht", b"the and with that not"])
+    texts = ["\u00bd \u2461", "\u00b2", "\u2167", "\u0308", "_ 12", "\u00aa", "x", "\u4e2d"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = [r["lang_pred"] for r in langid.identify(rows, known).orderBy("doc_id").collect()]
+    assert got[:5] == ["und"] * 5 and "und" not in got[5:]
+
+
 def test_language_of_odd_texts(spark):
     docs = odd(spark)
     known = langid.learn(docs, F.lit(True))
@@ -154,6 +162,11 @@ CASES = [
     ("plain < text &lt;b&gt; 1 < 2", "plain < text <b> 1 < 2"), ("", ""), (None, ""), ("<article></article>", ""), ("<p", ""),
     ("<ul><li>a<li>b</ul><table><tr><td>c<td>d</table>", "a\n\nb\n\nc\n\nd"),
     ("<!-- <article>no</article> --><p>" + "long " * 30000 + "</p>", ("long " * 30000).strip()),
+    ("<article><p>Hi <button>Subscribe</button> there <label>Mail</label> <span class=ad>AD</span>x<video>no</video></p></article>", "Hi there x"),
+    ("<article><p>a</p><div class='comment-body'><p>no</p></div><div class='post-comments'>no</div><p>b</p></article>", "a\n\nb"),
+    ("<body><div class='main-navigation'>no</div><div class='content-sidebar'>no</div><p>a</p><div class='page-footer'>no</div></body>", "a"),
+    ("<div class='post-header'><h1>H</h1></div><p>x</p><div class='page-header'>no</div>", "H\n\nx"),
+    ("<div>" * 520 + "<nav>no</nav>yes" + "<span>" * 9000 + "</b>" * 9000, "yes"),
     ("<div>" * 3000 + "deep" + "</div>" * 3000, "deep"), ("</p></div>x<br/><img src='>'>y", "x y"),
 ]
 
@@ -233,3 +246,23 @@ def test_pipeline(spark, tmp_path):
         assert r["ids_crc32"] == zlib.crc32(np.array(part, "<u4").tobytes())
     assert Counter(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "start", "length").collect())) == Counter(
         (r["doc_id"], r["start"], r["length"]) for r in last)
+
+
+def test_tree_decides_where_no_name_does(spark):
+    """The pages with their part elements written as plain elements of neutral classes: the tree alone tells them apart."""
+    names = dict(zip("article nav header footer aside main".split(), "abcdef"))
+
+    def neutral(page):
+        page = re.sub(r"\s(class|id|role)=(\"[^\"]*\"|'[^']*'|[^\s>]+)", "", page)
+        page = re.sub(rf"<({'|'.join(names)})\b[^>]*>", lambda m: f"<div class={names[m[1].lower()]}>", page, flags=re.I)
+        return re.sub(rf"</({'|'.join(names)})\s*>", "</div>", page, flags=re.I)
+
+    rows = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").collect()
+    plain = {r["page_id"]: Counter(style_tree.main_text(r["html"], None).split("\n\n")) for r in rows}
+    made = {r["page_id"]: neutral(r["html"]) for r in rows}
+    df = spark.createDataFrame([(r["page_id"], r["url"], made[r["page_id"]]) for r in rows], "page_id bigint, url string, html string")
+    got = {r["page_id"]: Counter(r["text"].split("\n\n")) for r in style_tree.extract(df).collect()}
+    template = {k: Counter(b.text for b in style_tree.blocks_of(made[k])[0]) - plain[k] for k in plain}
+    kept, left = sum((plain[k] & got[k]).total() for k in plain), sum(((got[k] - plain[k]) & template[k]).total() for k in plain)
+    assert kept >= 0.95 * sum(c.total() for c in plain.values())
+    assert left <= 0.05 * sum(c.total() for c in template.values())

@@ -65,6 +65,20 @@ def test_ids_are_the_tokenizers():
     assert got == [ids_of(t) for t in ODD]
 
 
+def test_ids_of_words_with_combining_marks():
+    """The tokenizer composes before it lower-cases: an upper-case letter and a mark may stay apart where lower-case ones join."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    rng = random.Random(5)
+    marks = "\u0308\u0331\u030a\u030c\u0301\u0327\u0323\u0345"
+    texts = ["T\u0308", "W\u0308 w\u0308", "J\u030c", "H\u0331 W\u030a Y\u030a", "A T\u0308A'S T", "\u0308T", "T \u0308", "T\n\u0308T", "Ü\u0304"]
+    texts += ["".join(rng.choice("TWJHYAtwjhyaÜü' .1" + marks) for _ in range(rng.randint(1, 12))) for _ in range(4000)]
+    plain = Tokenizer.from_file(word_tokenizer())
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in RunIds(word_tokenizer(), added=True).of(pa.array(texts))] == want
+
+
 MARKED = ["ab <|endoftext|> cd", "ab<|EndOfText|>cd", "<|startoftext|>", "x <|endoftext|", "<|endoftext|><|endoftext|> it's", "a b", None, ""]
 
 
