@@ -103,7 +103,7 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, max_rows: int = MA
     """Fit on the rows of ``labels`` (``doc_id``, ``toxic``) where ``training`` (of ``doc_id``) holds.
 
     Null labels and ids are left out, an id with several labels counts as toxic if any is. At most ``max_rows`` rows are
-    used, by the hash of their id, and one task takes them in that order.
+    used, by the hash of their id, and one task takes them in that order; equal texts of an id are one row.
     Without any row the score is one half throughout.
     """
     known = labels.where(training).where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(
@@ -111,9 +111,12 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, max_rows: int = MA
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     chosen = written(chosen, "labelled")  # bounded by max_rows, so it may be broadcast
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+    # An id may have many rows: equal texts teach once, and the limit holds for rows, whatever their ids.
+    rows = rows.withColumn("t", F.xxhash64("text")).dropDuplicates(["doc_id", "t"]).orderBy(
+        F.xxhash64("doc_id"), "doc_id", "t").limit(max_rows)
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["h", "doc_id"], kind="stable")
+        pdf = pdf.sort_values(["h", "doc_id", "t"], kind="stable")
         texts, labels_ = pa.array(pdf["text"], pa.string()), pdf["label"].to_numpy()
         model, rows_ = Ftrl(DIMENSIONS), list(features_of(texts))
         for _ in range(EPOCHS):

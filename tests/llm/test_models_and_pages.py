@@ -179,6 +179,22 @@ def test_pages(spark):
     assert style_tree.extract(pages.where("false")).collect() == []
 
 
+@pytest.mark.parametrize("module,label", [(toxicity, "toxic"), (quality, "quality")])
+def test_an_id_with_a_third_of_the_rows(spark, monkeypatch, module, label):
+    """The limits hold for rows: copies teach once, and different texts of one id do not come beside them."""
+    seen = []
+    for name in [n for n in dir(module) if n.startswith("MAX_")]:
+        monkeypatch.setattr(module, name, 30)
+    texts = [(i, f"good words number {i} here" if i % 2 else f"bad junk {i} $$$") for i in range(60)]
+    docs = spark.createDataFrame(texts + [(1, "copy")] * 30 + [(2, f"text {i}") for i in range(30)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], f"doc_id bigint, {label} int")
+    options = {"max_rows": 30} if module is toxicity else {}
+    once = module.scores(docs, module.fit(docs, labels, F.lit(True), **options)).orderBy("doc_id", "score").collect()
+    again = module.scores(docs, module.fit(docs.unionAll(docs.where("text = 'copy'")), labels, F.lit(True), **options)).orderBy("doc_id", "score").collect()
+    seen += [r["score"] for r in once]
+    assert once == again and len(set(seen)) > 2
+
+
 def test_template_goes_by_its_importance(spark):
     rng = random.Random(0)
 

@@ -144,6 +144,16 @@ def test_flow_moves_the_fewest_bytes(seed):
     assert sum(v for (a, b), v in flow.items() if a != b) == cheapest(supply, capacity)
 
 
+def test_flow_of_many_shards():
+    """One pass over the shards; no more transfers than shards on both sides."""
+    rng = np.random.default_rng(3)
+    supply = rng.integers(0, 1000, 100_000).tolist()
+    capacity = equal_capacities(sum(supply), 30_000)
+    flow = min_cost_flow(supply, capacity)
+    assert len(flow) <= len(supply) + 2 * len(capacity) and sum(flow.values()) == sum(supply)
+    assert sum(v for (a, b), v in flow.items() if a == b) == sum(map(min, supply, capacity))
+
+
 def test_flow_refuses_other_totals():
     with pytest.raises(ValueError):
         min_cost_flow([1], [2])
@@ -177,3 +187,6 @@ def test_rewrite_affected(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "out"))
     assert changed == {0, 1}
     assert {(r["doc_id"], r["_shard"]) for r in back.collect()} == {(r["doc_id"], r["shard"]) for r in moves.collect()}
+    for wrong in (docs.unionAll(docs.limit(1)), docs.withColumn("_part", F.lit(1))):
+        with pytest.raises(ValueError):
+            rewrite_affected(wrong, moves, str(tmp_path / "none"))
