@@ -24,11 +24,16 @@ from rankloom.plans.tables import (
 _SETTINGS: dict[tuple[str, str], Setting] = {}
 
 
+def fresh_setting(spark: SparkSession, sf_dir: str) -> Setting:
+    """Column roles, side table and item graph of the derived results."""
+    return Setting(FACTORS, ITEM, "rank", metafeatures(spark, sf_dir), item_edges(spark, sf_dir))
+
+
 def setting(spark: SparkSession, sf_dir: str) -> Setting:
-    """Column roles, side table and item graph of the derived results; the item embedding is fitted once for all."""
+    """The same for all queries of an application, so that the item embedding is fitted once."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _SETTINGS:
-        _SETTINGS[key] = Setting(FACTORS, ITEM, "rank", metafeatures(spark, sf_dir), item_edges(spark, sf_dir))
+        _SETTINGS[key] = fresh_setting(spark, sf_dir)
     return _SETTINGS[key]
 
 
