@@ -160,6 +160,9 @@ def walk_factors(
     met = positive_information(durable(cooccurrences(random_walks(edges, length, walks, seed, p, q), window)))
     rated = met.join(numbers.select(F.col("node").alias("a"), F.col("id").alias("i")), "a").join(
         numbers.select(F.col("node").alias("b"), F.col("id").alias("j")), "b").select("i", "j", F.col("weight").cast("float").alias("weight"))
+    # A node belongs with itself as surely as with its surest neighbour; else nodes that belong together would be told apart by it.
+    rated = durable(rated)
+    rated = rated.unionAll(rated.groupBy("i").agg(F.max("weight").alias("weight")).select("i", F.col("i").alias("j"), "weight"))
     fitted = ALS(rank=dimensions, maxIter=max_iter, implicitPrefs=True, alpha=alpha, regParam=penalty, userCol="i", itemCol="j",
                  ratingCol="weight", seed=seed, checkpointInterval=5).fit(rated)
     found = fitted.userFactors.select("id", F.col("features").cast("array<double>").alias("vec"))

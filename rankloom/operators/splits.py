@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rankloom.functions.keys import fold_hash
 from rankloom.operators.relational import distinct_groups
 from rankloom.operators.skew import hash_positions
+from rankloom.session import durable
 
 
 def group_split_keys(
@@ -59,16 +60,17 @@ def group_kfold_keys(df: DataFrame, factors: Sequence[str], k: int, seed: int |
 
 
 def _sorted_offsets(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Rows ahead of each distinct row in sorted order: numbered inside its parent, plus what is ahead of the parent."""
-    running = Window.partitionBy(*cols[:-1]).orderBy(cols[-1]).rowsBetween(Window.unboundedPreceding, 0)
-    local = F.sum("_w").over(running) - F.col("_w")
-    if len(cols) == 1:
-        return df.withColumn("_at", local)
-    parents = df.groupBy(*cols[:-1]).agg(F.sum("_w").alias("_w"))
-    ahead = _sorted_offsets(parents, cols[:-1]).select(*cols[:-1], F.col("_at").alias("_ahead"))
-    return df.withColumn("_local", local).join(ahead, cols[:-1]).withColumn(
-        "_at", F.col("_local") + F.col("_ahead")
-    ).drop("_local", "_ahead")
+    """Rows ahead of each distinct row in sorted order: those of the ranges before it, and those before it in its range. No
+    task sorts more than a range, however the values are spread over the columns."""
+    # Pinned: a range exchange that runs anew may cut elsewhere, and both branches below must see the same ranges.
+    placed = durable(df.repartitionByRange(*cols).withColumn("_cut", F.spark_partition_id()))
+    running = Window.partitionBy("_cut").orderBy(*cols).rowsBetween(Window.unboundedPreceding, 0)
+    # One row for each range: as many as there are partitions.
+    before = Window.orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = placed.groupBy("_cut").agg(F.sum("_w").alias("_in")).select(
+        "_cut", F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_ahead"))
+    local = placed.withColumn("_local", F.sum("_w").over(running) - F.col("_w"))
+    return local.join(ahead, "_cut").withColumn("_at", F.col("_local") + F.col("_ahead")).drop("_local", "_ahead", "_cut")
 
 
 def group_kfold(df: DataFrame, factors: Sequence[str], k: int, seed: int | None = 0) -> DataFrame:

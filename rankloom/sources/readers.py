@@ -67,18 +67,17 @@ def read_wide_rankings(
 ) -> DataFrame:
     """A matrix CSV (items down, one column per group, one header line per factor) melted to long rows.
 
-    Only the header lines reach the driver. A line that repeats a whole header line, as each further file does, is none of
-    the data; the others are parsed with generated column names, unpivoted on the cluster and joined with the header
+    Only the header lines of the file whose name comes first reach the driver. A line in a file's first block that repeats one
+    of them whole, as each further file does, is none of the data; the others are parsed with generated column names, unpivoted on the cluster and joined with the header
     table. Quoted labels may hold commas; missing cells stay as NULL.
     """
     text = spark.read.text(path)
-    first = text.where("_metadata.file_block_start = 0").select("value").limit(header_rows).collect()
-    header = [r.value for r in first]
+    header = [r.value for r in spark.read.text(min(text.inputFiles())).limit(header_rows).collect()]
     head = list(csv.reader(header))
     groups = [(f"c{j}", *[line[j] for line in head]) for j in range(1, len(head[0]))]
     names = [item, *[g[0] for g in groups]]
     cells = F.from_csv("value", ", ".join(f"`{n}` STRING" for n in names)).alias("_row")
-    raw = text.where(~F.col("value").isin(header)).select(cells).select("_row.*")
+    raw = text.where(~((F.col("_metadata.file_block_start") == 0) & F.col("value").isin(header))).select(cells).select("_row.*")
     long = raw.unpivot([item], names[1:], "_column", "_cell")
     labels = spark.createDataFrame(groups, ["_column", *levels])
     keep = F.col(item).isNotNull() & (F.trim(item) != "")
