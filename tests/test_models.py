@@ -76,6 +76,27 @@ def test_search_finds_the_deeper_tree(where):
     assert best == {"estimator__depth": 8} and ev.best_trial(trials).first()["trial"] == 1
 
 
+@pytest.mark.parametrize("mode", ["parzen", "surrogate"])
+def test_search_that_follows_the_scores(where, mode):
+    """Two trials at a time, the last of them chosen by the sampler; failures are recorded and do not stop it."""
+    rows, setting = where
+    space = {"estimator__depth": ev.Integer(1, 4), "estimator__subset": ev.Choice((None, "nonsense"))}
+    spec = registry.create("listwise_multidimensional_regression_no_search")
+    trials, best = ev.search(spec, rows, setting, space, mode, trials=5, folds=2, startup=1)
+    found = trials.collect()
+    assert {r["trial"] for r in found} == set(range(5))
+    assert all((r["status"] == "ok") == (r["params"]["estimator__subset"] == "None") for r in found)
+    scores = {}
+    for r in found:
+        if r["status"] == "ok":
+            scores.setdefault(r["trial"], []).append(r["score"])
+    assert best is not None and best["estimator__subset"] is None
+    top = max(scores, key=lambda t: (sum(scores[t]), -t))
+    assert str(best["estimator__depth"]) == next(r["params"]["estimator__depth"] for r in found if r["trial"] == top)
+    with pytest.raises(ValueError):
+        ev.search(spec, rows, setting, space, "nonsense")
+
+
 def test_inferred_space():
     space = ev.infer_space({"i": [1, 5], "f": [0.1, 0.9], "c": [None, "x", "y"]})
     assert space == {"i": ev.Integer(1, 5), "f": ev.Real(0.1, 0.9), "c": ev.Choice((None, "x", "y"))}
