@@ -52,8 +52,8 @@ class RunIds:
 
     A text is cut into runs between which the tokenizer never joins anything: at ASCII white space, and inside words of
     plain letters and signs also between letters and signs. Words with an apostrophe or with a character beyond Latin-1
-    letters stay whole, those with characters that may combine in their own case. Each distinct run is encoded once by the tokenizer and remembered; the rest is numpy. A run of
-    letters goes straight to the tokenizer's merges, as normalising and splitting change nothing about it but the case;
+    letters stay whole, those with characters that may combine in their own case. Each distinct run is encoded once by the
+    tokenizer and remembered; the rest is numpy. A run of letters goes straight to the tokenizer's merges, as normalising and splitting change nothing about it but the case;
     whether they do so in the given tokenizer is tried out first.
 
     With ``added``, the tokenizer's added tokens, such as ``<|endoftext|>``, are recognised in texts as the tokenizer does
