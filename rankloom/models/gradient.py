@@ -13,7 +13,6 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 BLOCK_DOUBLES = 1 << 15
 #: The gradients of all tasks together go straight to the driver up to so many numbers (32 MB).
