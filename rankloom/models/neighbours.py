@@ -1,9 +1,11 @@
-"""Exact k nearest neighbours as an equi-join on cells.
+"""Exact k nearest neighbours as an equi-join on blocks of cells.
 
 Training rows are assigned to the nearest of a few pivots. From the distances to the pivots alone a query knows an
-upper bound of its k-th distance and, by the triangle inequality, the only cells that can hold a neighbour; it visits
-those and no others. Cells are dealt into chunks and the queries of a cell into batches, so a cell of any size spreads
-over many tasks, and each task returns at most k candidates per query.
+upper bound of its k-th distance and, by the triangle inequality, the only cells that can hold a neighbour. Small cells are
+packed into blocks, and a query visits the blocks of its cells and no others, once each. Large cells are dealt into
+chunks and the queries of a block into batches, so a cell of any size spreads over many tasks, a vector is sent as often as
+there are blocks, and each task returns at most k candidates per query. Where nothing can be left out, as between vectors that
+are all about as far apart, the work is quadratic: then a matrix product finds the few pairs whose distance is measured.
 """
 
 from __future__ import annotations
@@ -12,13 +14,22 @@ from math import isqrt
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankloom.models.gradient import matrix
 from rankloom.session import pin_state
 
-CHUNK_ROWS = 4000
-BATCH_ROWS = 4000
+CHUNK_ROWS = 1 << 15
+BATCH_ROWS = 1 << 13
+#: Numbers in the vectors of a chunk at most.
+CHUNK_CELLS = 1 << 22
+#: Distances that are held at once.
+HELD_DISTANCES = 1 << 19
+#: Parts of a row of distances whose least ones bound the k-th.
+PARTS = 64
 MAX_PIVOTS = 256
 SLACK = 1e-9  # keeps a cell whose bound only ties by rounding
 
@@ -33,6 +44,39 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.concatenate([np.sqrt(((a[i:i + step, None, :] - b[None]) ** 2).sum(-1)) for i in range(0, len(a), step)])
 
 
+def closest_rows(queries: np.ndarray, targets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each query its ``k`` nearest targets, ties by their number: numbers of queries and of targets, and distances.
+
+    Squared distances from a matrix product, which are off by rounding, choose the pairs that may be among the nearest; of those
+    the distance is measured by plain differences, so that ties stay ties.
+    """
+    n, width = targets.shape
+    k = min(k, n)
+    parts = max(PARTS, 4 * k)
+    lengths, own = (targets ** 2).sum(1), (queries ** 2).sum(1)
+    # More than twice the rounding of the product and of a measured distance.
+    room = 16 * (width + 8) * np.finfo(float).eps * (own + lengths.max())
+    found = []
+    step = max(1, HELD_DISTANCES // n)
+    for i in range(0, len(queries), step):
+        near = queries[i:i + step] @ (-2.0 * targets.T)
+        near += lengths
+        if n > 4 * parts:  # k parts have a target as near as the k-th of their least ones
+            least = np.minimum.reduceat(near, np.linspace(0, n, parts, endpoint=False).astype(int), axis=1)
+        else:
+            least = near
+        bound = np.partition(least, k - 1, axis=1)[:, k - 1] + room[i:i + step]
+        # A distance that is no number is kept, to be measured.
+        q, t = np.nonzero(~(near > bound[:, None]))
+        d = np.sqrt(((queries[i + q] - targets[t]) ** 2).sum(-1))
+        order = np.lexsort((t, d, q))
+        q, t, d = q[order], t[order], d[order]
+        first = np.searchsorted(q, np.arange(q[-1] + 1) if len(q) else [])
+        kept = np.arange(len(q)) - first[q] < k if len(q) else np.zeros(0, dtype=bool)
+        found.append((i + q[kept], t[kept], d[kept]))
+    return tuple(np.concatenate(f) for f in zip(*found))
+
+
 def nearest_neighbours(
     train: DataFrame, queries: DataFrame, key: str, vector: str, k: int, exclude_self: bool = False, seed: int = 0,
 ) -> DataFrame:
@@ -44,8 +88,10 @@ def nearest_neighbours(
     need = k + 1 if exclude_self else k
     n = train.count()
     n_pivots = max(1, min(MAX_PIVOTS, isqrt(n) // 2))
-    points = train.select(F.col(key).alias("t"), F.col(vector).cast("array<double>").alias("v"))
-    asked = queries.select(F.col(key).alias("q"), F.col(vector).cast("array<double>").alias("v"))
+    # Narrow numbers stay narrow until they are compared.
+    points, asked = (df.select(F.col(key).alias(name), (
+        F.col(vector) if df.schema[vector].dataType.simpleString() == "array<float>" else F.col(vector).cast("array<double>")
+    ).alias("v")) for df, name in ((train, "t"), (queries, "q")))
     chosen = points.orderBy(F.xxhash64(F.lit(seed), F.col("t")), "t").limit(n_pivots)
     pivots = _matrix(chosen.toPandas()["v"])  # at most MAX_PIVOTS vectors
 
@@ -70,48 +116,56 @@ def nearest_neighbours(
         stop = np.where(filled.any(1), filled.argmax(1), len(ids) - 1)
         bound = np.where(filled.any(1), np.take_along_axis(far, order, 1)[np.arange(len(d)), stop], np.inf)
         may = (d - reach) <= bound[:, None] * (1 + SLACK) + SLACK
-        return pd.Series([ids[m].astype("int32").tolist() for m in may])
-
-    wanted = asked.withColumn("cell", F.explode(visits("v")))
+        return pd.Series([blocks[m].astype("int32").tolist() for m in may])
+
+    # Cells in their own order, small ones together; a block is named by its first cell.
+    chunk_rows, batch_rows = (min(r, max(1, CHUNK_CELLS // max(1, pivots.shape[1]))) for r in (CHUNK_ROWS, BATCH_ROWS))
+    block_of, first, filled = {}, None, 0
+    for cell, rows in sorted(zip(ids.tolist(), held.tolist())):
+        if first is None or filled + rows > chunk_rows:
+            first, filled = cell, 0
+        block_of[cell], filled = first, filled + rows
+    blocks = np.array([block_of[c] for c in ids.tolist()])
+    sizes = shape.assign(cell=blocks).groupby("cell", as_index=False)["n"].sum()
+
+    wanted = asked.withColumn("cell", F.explode(F.array_distinct(visits("v"))))
     load = wanted.groupBy("cell").agg(F.count(F.lit(1)).alias("asked"))
     plan = pin_state(
-        spark.createDataFrame(shape[["cell", "n"]]).join(load, "cell").select(
+        spark.createDataFrame(sizes).join(load, "cell").select(
             F.col("cell").cast("int").alias("cell"),
-            F.ceil(F.col("n") / CHUNK_ROWS).cast("int").alias("chunks"),
-            F.ceil(F.col("asked") / BATCH_ROWS).cast("int").alias("batches"),
+            F.ceil(F.col("n") / chunk_rows).cast("int").alias("chunks"),
+            F.ceil(F.col("asked") / batch_rows).cast("int").alias("batches"),
         )
     )
 
-    # A query goes to one batch of its cell and meets every chunk; a training row sits in one chunk and meets every batch.
+    # A query goes to one batch of its block and meets every chunk; a training row sits in one chunk and meets every batch.
     def pick(by: str, ways: str):
         return F.pmod(F.xxhash64(by), F.col(ways)).cast("int")
 
     def each(ways: str):
         return F.explode(F.sequence(F.lit(0), F.col(ways) - 1))
 
+    names = F.create_map(*[F.lit(int(x)) for pair in block_of.items() for x in pair])
     left = wanted.join(plan, "cell").withColumn("batch", pick("q", "batches")).withColumn("chunk", each("chunks"))
-    right = cells.select("t", "v", "cell").join(plan, "cell").withColumn("chunk", pick("t", "chunks")).withColumn(
-        "batch", each("batches"))
+    right = cells.select("t", "v", names[F.col("cell")].alias("cell")).join(plan, "cell").withColumn(
+        "chunk", pick("t", "chunks")).withColumn("batch", each("batches"))
     left, right = left.drop("chunks", "batches"), right.drop("chunks", "batches")
     place_keys = ["cell", "chunk", "batch"]
 
-    def closest(_, qs: pd.DataFrame, ts: pd.DataFrame) -> pd.DataFrame:
-        if qs.empty or ts.empty:
-            return pd.DataFrame({"q": [], "t": [], "d": []})
-        ts = ts.sort_values("t")
-        names, found = ts["t"].to_numpy(), []
-        vectors, targets = _matrix(qs["v"]), _matrix(ts["v"])
-        for i in range(0, len(qs), 256):
-            d = _distances(vectors[i:i + 256], targets)
-            best = np.argsort(d, axis=1, kind="stable")[:, :need]
-            found.append(pd.DataFrame({
-                "q": np.repeat(qs["q"].to_numpy()[i:i + 256], best.shape[1]),
-                "t": names[best].ravel(), "d": np.take_along_axis(d, best, 1).ravel(),
-            }))
-        return pd.concat(found)
+    def closest(_, qs: pa.Table, ts: pa.Table) -> pa.Table:
+        kind = qs.column("q").type
+        if not (qs.num_rows and ts.num_rows):
+            return pa.table([pa.array([], kind), pa.array([], kind), pa.array([], pa.float64())], names=["q", "t", "d"])
+        ts = ts.take(pc.sort_indices(ts, [("t", "ascending")]))
+        keys = ts.column("t").combine_chunks()
+        # Rows with the query's own key are left out afterwards.
+        more = max(pc.value_counts(keys).field("counts").to_pylist()) if exclude_self else 0
+        vectors, targets = (matrix(x.column("v").combine_chunks()) for x in (qs, ts))
+        q, t, d = closest_rows(vectors, targets, k + more)
+        return pa.table([qs.column("q").combine_chunks().take(pa.array(q)), keys.take(pa.array(t)), pa.array(d)], names=["q", "t", "d"])
 
     kind = train.schema[key].dataType.simpleString()
-    near = left.groupBy(*place_keys).cogroup(right.groupBy(*place_keys)).applyInPandas(
+    near = left.groupBy(*place_keys).cogroup(right.groupBy(*place_keys)).applyInArrow(
         closest, f"q {kind}, t {kind}, d double"
     )
     if exclude_self:
